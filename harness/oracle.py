@@ -261,3 +261,11 @@ ORACLE: dict[str, str] = {
           concat('Analyzing ', cast(count(*) as varchar), ' subway routes') as caption
         from (select distinct event_type from events) x""",
 }
+
+ORACLE["stored_digest"] = (
+    ARRIVALS
+    + """select hour, stop_id, route_id, direction_id, route_color, count(*) as n_rows,
+          count(trip_id) as n_trips from arr group by all"""
+)
+ORACLE["stored_route_summary"] = ORACLE["route_summary"]
+ORACLE["stored_kpi_day"] = ORACLE["hour_kpi_all"]

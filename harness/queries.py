@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from harness import roles
 from harness.roles import read
+from stopwise.functions.schedule import hour_of
 from stopwise.functions.text import hex_colour
 from stopwise.operators import expectations, joins, kpis, selection, summaries
 from stopwise.operators.ranking import exact_sample
@@ -81,7 +82,8 @@ def _raw_schema() -> T.StructType:
 
 @query
 def bronze_silver(spark, sf):
-    flow = Medallion(spark, _raw_events(spark, sf), scratch_dir(spark, "bronze"))
+    raw, bronze = _raw_events(spark, sf), scratch_dir(spark, "bronze")
+    flow = Medallion(spark, raw, bronze, raw_schema=_raw_schema())
     flow.run()
     return spark.sql(
         f"SELECT event_type, count(*) AS n FROM {flow.silver_view_name} "
@@ -310,7 +312,8 @@ def decorator_order(spark, sf):
 
 @query
 def arrival_hour(spark, sf):
-    return roles.arrivals(spark, sf).select("trip_id", "hour")
+    hour = hour_of(F.col("arrival_time")).alias("hour")
+    return roles.arrivals(spark, sf).select("trip_id", hour)
 
 
 @query
@@ -360,10 +363,8 @@ def route_color_join(spark, sf):
 def fanout_join(spark, sf):
     """Counts per stop and borough against two stop lists, on the stop id alone."""
     listed = joins.union_by_name([roles.stops(spark, sf), roles.depots(spark, sf)])
-    counts = (
-        roles.borough_activity(spark, sf)
-        .groupBy("stop_id", "borough")
-        .agg(F.sum("n_rows").alias("arrivals"))
+    counts = roles.borough_tally(spark, sf, "stop_id").select(
+        "stop_id", "borough", F.col("n_rows").alias("arrivals")
     )
     return joins.attach_stops(counts, listed, ["stop_name"], "inner")
 
@@ -372,10 +373,8 @@ def fanout_join(spark, sf):
 def fanout_join_tagged(spark, sf):
     """The same, matched within the borough."""
     listed = joins.union_by_name([roles.stops(spark, sf), roles.depots(spark, sf)])
-    counts = (
-        roles.borough_activity(spark, sf)
-        .groupBy("stop_id", "borough")
-        .agg(F.sum("n_rows").alias("arrivals"))
+    counts = roles.borough_tally(spark, sf, "stop_id").select(
+        "stop_id", "borough", F.col("n_rows").alias("arrivals")
     )
     return joins.attach_stops(counts, listed, ["stop_name"], "inner", on=["stop_id", "borough"])
 
@@ -397,7 +396,7 @@ def _feed_trips(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def subway_arrivals(spark, sf):
     """One feed from CSV: sign-ups have no trip, errors have a trip but no known route."""
-    arrivals = roles.stop_times(spark, sf)
+    arrivals = roles.arrivals(spark, sf)
     trips = arrivals.filter("route_id <> 'signup'").select(
         "trip_id",
         "route_id",
@@ -427,7 +426,7 @@ def subway_arrivals(spark, sf):
 def _borough_feeds(spark: SparkSession, sf: str):
     """A feed per region; trips with a value below 1 are missing, and so is one whole feed."""
     stops = roles.stops(spark, sf)
-    placed = joins.attach_stops(roles.stop_times(spark, sf), stops, ["borough"], "inner")
+    placed = joins.attach_stops(roles.arrivals(spark, sf), stops, ["borough"], "inner")
     trips = _feed_trips(spark, sf).filter("value >= 1")
     tagged = joins.attach_trips(placed.select("trip_id", "borough"), trips, "inner")
     tables = {
@@ -466,7 +465,9 @@ def route_summary(spark, sf):
 
 @query
 def borough_summary(spark, sf):
-    return summaries.borough_summary(roles.borough_activity(spark, sf), BOROUGH_CHOICE)
+    return summaries.borough_summary(
+        roles.borough_tally(spark, sf, "stop_id", "route_id"), BOROUGH_CHOICE
+    )
 
 
 @query
@@ -476,7 +477,7 @@ def hourly_trend(spark, sf):
 
 @query
 def hourly_trend_borough(spark, sf):
-    return summaries.hourly_trend(roles.borough_activity(spark, sf), "borough")
+    return summaries.hourly_trend(roles.borough_tally(spark, sf, "hour", "stop_id"), "borough")
 
 
 @query
@@ -484,25 +485,33 @@ def empty_selection(spark, sf):
     return summaries.route_summary(roles.arrivals(spark, sf), [])
 
 
+def _coloured_tally(spark, sf):
+    return roles.coloured_tally(spark, sf, "hour", "stop_id", "route_id")
+
+
+def _borough_tally(spark, sf):
+    return roles.borough_tally(spark, sf, "hour", "stop_id", "route_id")
+
+
 def _routes(spark, sf):
-    return route_dashboard(roles.stops(spark, sf), roles.coloured_activity(spark, sf))
+    return route_dashboard(roles.stops(spark, sf), _coloured_tally(spark, sf))
 
 
 def _boroughs(spark, sf):
-    return borough_dashboard(roles.stops(spark, sf), roles.borough_activity(spark, sf))
+    return borough_dashboard(roles.stops(spark, sf), _borough_tally(spark, sf))
 
 
 @query
 def stop_density(spark, sf):
     """Named from the short stop list, so many stops have no name."""
-    dashboard = route_dashboard(roles.depots(spark, sf), roles.coloured_activity(spark, sf))
+    dashboard = route_dashboard(roles.depots(spark, sf), _coloured_tally(spark, sf))
     return dashboard.density(HOUR)
 
 
 @query
 def stop_density_borough(spark, sf):
     """Named from the short stop list, so stops without a name vanish."""
-    dashboard = borough_dashboard(roles.depots(spark, sf), roles.borough_activity(spark, sf))
+    dashboard = borough_dashboard(roles.depots(spark, sf), _borough_tally(spark, sf))
     return dashboard.density(HOUR, BOROUGH_CHOICE)
 
 
@@ -525,7 +534,7 @@ def top_stops(spark, sf):
 @query
 def top_stops_borough(spark, sf):
     listed = joins.union_by_name([roles.stops(spark, sf), roles.depots(spark, sf)])
-    return borough_dashboard(listed, roles.borough_activity(spark, sf)).top_stops(HOUR)
+    return borough_dashboard(listed, _borough_tally(spark, sf)).top_stops(HOUR)
 
 
 @query
@@ -569,3 +578,25 @@ def selection_status(spark, sf):
     return selection.full_selection_status(
         roles.arrivals(spark, sf), "route_id", "subway routes"
     )
+
+
+def _stored_dashboard(spark, sf):
+    counted = roles.coloured_tally(spark, sf, "hour", "stop_id", "route_id", "direction_id")
+    dashboard = route_dashboard(roles.stops(spark, sf), counted)
+    return dashboard.stored(scratch_dir(spark, "digest"))
+
+
+@query
+def stored_digest(spark, sf):
+    """The memoised load: arrivals counted once to the keys of every report."""
+    return _stored_dashboard(spark, sf).arrivals
+
+
+@query
+def stored_route_summary(spark, sf):
+    return _stored_dashboard(spark, sf).summary(ROUTE_CHOICE)
+
+
+@query
+def stored_kpi_day(spark, sf):
+    return _stored_dashboard(spark, sf).kpi_day()

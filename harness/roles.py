@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopwise.functions.schedule import hour_of
 from stopwise.functions.text import hex_colour
 from stopwise.operators.activity import tally
 from stopwise.operators.joins import attach_routes, attach_stops
@@ -23,7 +22,7 @@ def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def stop_times(spark: SparkSession, sf: str) -> DataFrame:
+def arrivals(spark: SparkSession, sf: str) -> DataFrame:
     clock = F.substring(F.col("ts").cast("string"), 12, 8)
     return read(spark, sf, "events").select(
         F.col("event_id").alias("trip_id"),
@@ -31,13 +30,10 @@ def stop_times(spark: SparkSession, sf: str) -> DataFrame:
         clock.alias("arrival_time"),
         F.col("event_type").alias("route_id"),
         F.when(F.col("value") >= 50, 1).otherwise(0).alias("direction_id"),
+        F.hour("ts").alias("hour"),
     )
 
 
-def arrivals(spark: SparkSession, sf: str) -> DataFrame:
-    return stop_times(spark, sf).withColumn("hour", hour_of(F.col("arrival_time")))
-
-
 def routes(spark: SparkSession, sf: str) -> DataFrame:
     """All event types but errors: arrivals of that route find no colour."""
     kinds = read(spark, sf, "events").select(F.col("event_type").alias("route_id"))
@@ -71,17 +67,13 @@ def depots(spark: SparkSession, sf: str) -> DataFrame:
     return _placed(people, spark, sf, "s")
 
 
-def activity(spark: SparkSession, sf: str) -> DataFrame:
-    return tally(arrivals(spark, sf), "hour", "stop_id", "route_id", "direction_id")
-
-
-def coloured_activity(spark: SparkSession, sf: str) -> DataFrame:
-    return attach_routes(activity(spark, sf), routes(spark, sf))
+def coloured_tally(spark: SparkSession, sf: str, *keys: str) -> DataFrame:
+    return attach_routes(tally(arrivals(spark, sf), *keys), routes(spark, sf))
 
 
-def borough_activity(spark: SparkSession, sf: str) -> DataFrame:
+def borough_tally(spark: SparkSession, sf: str, *keys: str) -> DataFrame:
     """Counted before the join, so a hot stop meets the stop list as a few rows."""
-    return attach_stops(activity(spark, sf), stops(spark, sf), ["borough"])
+    return attach_stops(tally(arrivals(spark, sf), *keys), stops(spark, sf), ["borough"])
 
 
 def draft_trips(spark: SparkSession, sf: str) -> DataFrame:

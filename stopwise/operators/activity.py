@@ -1,9 +1,9 @@
-"""Arrivals counted per key: the form all schedule metrics are computed from.
+"""Counting arrivals, singly or from a tally of them.
 
-``tally`` is the only step that touches single arrivals. It is one hash aggregation with
-map-side combine, so a hot route or stop is reduced to a few rows before anything is
-shuffled, and distinct counts above it expand those few rows instead of the arrivals.
-A tally can be tallied again to fewer keys, so one stored tally serves every report.
+The metrics take single arrivals and aggregate them in one go: Spark combines on the map
+side and shuffles distinct keys, so a hot route or stop is a few rows by the time it moves.
+A ``tally`` holds the same arrivals counted per key. Stored once, it answers every report
+from far fewer rows; made before a join, it collapses hot keys before they are shuffled.
 """
 
 from __future__ import annotations
@@ -17,13 +17,19 @@ ROWS = "n_rows"
 TRIPS = "n_trips"
 
 
-def tally(arrivals: DataFrame, *keys: str) -> DataFrame:
+def arrival_count(df: DataFrame) -> Column:
+    """Number of arrivals, whether ``df`` has one row for each or is a tally."""
+    return F.sum(ROWS) if ROWS in df.columns else F.count(F.lit(1))
+
+
+def trip_count(df: DataFrame) -> Column:
+    """Number of arrivals that have a trip id."""
+    return F.sum(TRIPS) if TRIPS in df.columns else F.count("trip_id")
+
+
+def tally(df: DataFrame, *keys: str) -> DataFrame:
     """Per key: ``n_rows`` arrivals, ``n_trips`` of them with a trip id."""
-    if ROWS in arrivals.columns:
-        rows, trips = F.sum(ROWS), F.sum(TRIPS)
-    else:
-        rows, trips = F.count(F.lit(1)), F.count("trip_id")
-    return arrivals.groupBy(*keys).agg(rows.alias(ROWS), trips.alias(TRIPS))
+    return df.groupBy(*keys).agg(arrival_count(df).alias(ROWS), trip_count(df).alias(TRIPS))
 
 
 def present(df: DataFrame, *columns: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stopwise.functions.rates import change_rate, trend
 from stopwise.functions.schedule import HOURS_PER_DAY, hour_after, hour_before
 from stopwise.functions.text import signed_percent, thousands
-from stopwise.operators.activity import ROWS, at_hour, chosen, tally, total
+from stopwise.operators.activity import arrival_count, at_hour, chosen, total
 
 MEASURES = ("arrivals", "routes", "stops")
 
@@ -27,9 +27,9 @@ def hourly_activity(
     arrivals: DataFrame, by: str = "route_id", selected: Sequence[str] | None = None
 ) -> DataFrame:
     """Arrivals, distinct routes and distinct stops per hour of the selection."""
-    counted = tally(chosen(arrivals, by, selected), "hour", "route_id", "stop_id")
-    return counted.groupBy("hour").agg(
-        F.sum(ROWS).alias("arrivals"),
+    picked = chosen(arrivals, by, selected)
+    return picked.groupBy("hour").agg(
+        arrival_count(picked).alias("arrivals"),
         F.countDistinct("route_id").alias("routes"),
         F.countDistinct("stop_id").alias("stops"),
     )
@@ -72,14 +72,15 @@ def hour_kpi_all(
 ) -> DataFrame:
     """``hour_kpi`` for each of the 24 hours, still in one pass over the arrivals.
 
-    The hourly figures, 24 rows at most, count once as current for their own hour and once
-    as previous for the next.
+    The hourly figures, a row per hour, count once as current for their own hour and once as
+    previous for the next. Hours past 23 belong to neither.
     """
-    in_day = arrivals.filter(F.col("hour").between(0, HOURS_PER_DAY - 1))
-    hours = hourly_activity(in_day, by, selected)
+    hours = hourly_activity(arrivals, by, selected)
+    hour = F.col("hour")
+    following = F.when(hour < HOURS_PER_DAY, hour_after(hour))
     roles = F.array(
-        F.struct(F.col("hour").alias("slot"), F.lit(True).alias("is_current")),
-        F.struct(hour_after(F.col("hour")).alias("slot"), F.lit(False).alias("is_current")),
+        F.struct(hour.alias("slot"), F.lit(True).alias("is_current")),
+        F.struct(following.alias("slot"), F.lit(False).alias("is_current")),
     )
     placed = hours.select(*MEASURES, F.inline(roles))
     day = arrivals.sparkSession.range(HOURS_PER_DAY).select(F.col("id").cast("int").alias("hour"))

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stopwise.operators.activity import ROWS, TRIPS, at_hour, chosen, present, tally
+from stopwise.operators.activity import arrival_count, at_hour, chosen, present, trip_count
 
 
 def summary(
@@ -21,9 +21,9 @@ def summary(
     selected: Sequence | None = None,
 ) -> DataFrame:
     """``total_arrivals`` per ``by``, and for each output name the distinct values of a column."""
-    counted = tally(chosen(arrivals, by, selected), by, *distinct.values())
-    return counted.groupBy(by).agg(
-        F.sum(TRIPS).alias("total_arrivals"),
+    picked = chosen(arrivals, by, selected)
+    return picked.groupBy(by).agg(
+        trip_count(picked).alias("total_arrivals"),
         *[F.countDistinct(column).alias(name) for name, column in distinct.items()],
     )
 
@@ -42,8 +42,8 @@ def hourly_trend(
     arrivals: DataFrame, by: str = "route_id", selected: Sequence[str] | None = None
 ) -> DataFrame:
     """Arrivals per hour and selector value, hours past 23 included."""
-    counted = tally(present(chosen(arrivals, by, selected), "hour"), "hour", by)
-    return counted.select("hour", by, F.col(ROWS).alias("arrivals"))
+    picked = present(chosen(arrivals, by, selected), "hour")
+    return picked.groupBy("hour", by).agg(arrival_count(picked).alias("arrivals"))
 
 
 def stop_counts(
@@ -56,4 +56,4 @@ def stop_counts(
 ) -> DataFrame:
     """Arrivals of one hour per ``keys``, counted into ``name``."""
     picked = present(chosen(at_hour(arrivals, hour), by, selected), *keys)
-    return tally(picked, *keys).select(*keys, F.col(ROWS).alias(name))
+    return picked.groupBy(*keys).agg(arrival_count(picked).alias(name))

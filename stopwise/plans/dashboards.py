@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,6 +11,7 @@ from stopwise.operators import kpis, selection, summaries
 from stopwise.operators.activity import tally
 from stopwise.operators.joins import attach_stops
 from stopwise.operators.ranking import MAP_ROWS, TOP_STOPS, busiest, exact_sample
+from stopwise.sinks.tables import write_table
 from stopwise.sources.feeds import TAG
 
 MAP_COLUMNS = ("stop_name", "stop_lat", "stop_lon")
@@ -64,12 +65,16 @@ class Dashboard:
         return self.arrivals.sparkSession
 
     def digest(self) -> DataFrame:
-        """The arrivals counted to the keys any report needs.
+        """The arrivals counted to the keys any report needs."""
+        return tally(self.arrivals, *self.layout.tally_keys)
+
+    def stored(self, path: str) -> Dashboard:
+        """The same reports over a stored digest, partitioned by hour.
 
-        Store it (``write_table``, partitioned by hour) or persist it, and build a dashboard
-        on it: each report then reads this table instead of the whole schedule.
+        The schedule is read and joined once, here. Each report then reads the digest, and
+        the hourly ones only their one or two partitions of it.
         """
-        return tally(self.arrivals, *self.layout.tally_keys)
+        return replace(self, arrivals=write_table(self.digest(), path, partition_cols=["hour"]))
 
     def domain(self) -> DataFrame:
         return selection.distinct_values(self.arrivals, self.layout.by)

@@ -2,7 +2,8 @@
 
 Every folder lies under ``spark.checkpoint.dir``, which all executors can reach, so a lost
 executor never takes intermediate data with it. Only a ``local`` master, where driver and
-executors share one disk, may fall back to a temporary folder of its own.
+executors share one disk, may fall back to a temporary folder of its own. Folders live as
+long as the driver, or until ``release_scratch``.
 """
 
 from __future__ import annotations
@@ -49,3 +50,10 @@ def release_scratch(spark: SparkSession) -> None:
     """Delete every scratch folder this process handed out."""
     while _handed_out:
         storage.delete(spark, _handed_out.pop())
+
+
+@atexit.register
+def _release_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and _handed_out:
+        release_scratch(spark)

@@ -52,7 +52,7 @@ def write_table(
         return read_table(spark, path, fmt)
 
     mode = mode.lower()
-    present = storage.exists(spark, path)
+    present = storage.has_content(spark, path)
     if present and mode == "ignore":
         return read_table(spark, path, fmt)
     if present and mode in ("error", "errorifexists"):
@@ -69,7 +69,7 @@ def write_table(
         df = df.hint("rebalance", *[F.col(name) for name in shape.partition_cols])
 
     if not present:
-        _save(df, path, "errorifexists", shape, fmt)
+        _save(df, path, "overwrite", shape, fmt)
         save_shape(spark, path, shape)
     elif mode == "append":
         # The wider schema goes first: until the new files land, old files read as NULL.

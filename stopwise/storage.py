@@ -16,6 +16,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def has_content(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is a file, or a folder with anything in it."""
+    fs, target = _resolve(spark, path)
+    return fs.exists(target) and len(fs.listStatus(target)) > 0
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = _resolve(spark, path)
     fs.delete(target, True)
