@@ -78,8 +78,8 @@ def load_feeds(
 
     Feeds that do not exist are left out; with none left this raises. Trips are matched
     after the union on tag and trip id, so equal ids of two networks never meet and the plan
-    holds one join however many feeds there are. A filter on the tag skips the other feeds'
-    files altogether.
+    holds one join however many feeds there are. A filter on the tag still skips the stop
+    times of the other feeds.
     """
     tables: dict[str, list[DataFrame]] = {"stops": [], "stop_times": [], "trips": []}
     schemas = {

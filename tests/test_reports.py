@@ -1,0 +1,280 @@
+"""Every dashboard report against pandas, over single arrivals and over the stored digest."""
+
+from __future__ import annotations
+
+import pandas as pd
+import pytest
+from conftest import rows_of
+from feeds import (
+    pandas_borough_feeds,
+    pandas_route_feed,
+    records,
+    write_borough_feeds,
+    write_route_feed,
+)
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from stopwise.functions.rates import change_rate, trend
+from stopwise.functions.text import hex_colour, signed_percent, thousands
+from stopwise.operators import selection
+from stopwise.operators.activity import tally
+from stopwise.operators.ranking import exact_sample
+from stopwise.plans.dashboards import borough_dashboard, route_dashboard
+from stopwise.sources.feeds import load_feed, load_feeds
+
+ROUTE_CHOICES = [None, ["1", "SI"], ["1", "2", "9", "SI"], ["none"], []]
+BOROUGH_CHOICES = [None, ["North"], ["South", "North"], []]
+
+
+@pytest.fixture(scope="module", params=["single", "stored"])
+def by_route(spark, request, tmp_path_factory):
+    folder = write_route_feed(tmp_path_factory.mktemp("r") / "gtfs")
+    feed = load_feed(spark, str(folder))
+    dashboard = route_dashboard(feed.stops, feed.arrivals)
+    if request.param == "stored":
+        dashboard = dashboard.stored(str(tmp_path_factory.mktemp("d") / "digest"))
+    return dashboard, *pandas_route_feed(folder)
+
+
+@pytest.fixture(scope="module", params=["single", "stored"])
+def by_borough(spark, request, tmp_path_factory):
+    feeds = write_borough_feeds(tmp_path_factory.mktemp("b"))
+    feed = load_feeds(spark, feeds)
+    dashboard = borough_dashboard(feed.stops, feed.arrivals)
+    if request.param == "stored":
+        dashboard = dashboard.stored(str(tmp_path_factory.mktemp("d") / "digest"))
+    return dashboard, *pandas_borough_feeds(feeds)
+
+
+def pick(arrivals, column, chosen, hour=None):
+    if hour is not None:
+        arrivals = arrivals[arrivals["hour"] == hour]
+    return arrivals[arrivals[column].notna() if chosen is None else arrivals[column].isin(chosen)]
+
+
+def expect(df, frame, columns):
+    assert sorted(df.columns) == sorted(columns)
+    assert rows_of(df.select(*columns)) == records(frame, columns)
+
+
+@pytest.mark.parametrize("chosen", ROUTE_CHOICES)
+def test_route_summary_and_trend(by_route, chosen):
+    dashboard, _, arrivals = by_route
+    picked = pick(arrivals, "route_id", chosen)
+    grouped = picked.groupby("route_id").agg(
+        total_arrivals=("trip_id", "count"),
+        unique_stops=("stop_id", "nunique"),
+        directions=("direction_id", "nunique"),
+    )
+    expect(
+        dashboard.summary(chosen),
+        grouped.reset_index(),
+        ["route_id", "total_arrivals", "unique_stops", "directions"],
+    )
+    hourly = picked.groupby(["hour", "route_id"]).size().reset_index(name="arrivals")
+    expect(dashboard.trend(chosen), hourly, ["hour", "route_id", "arrivals"])
+
+
+@pytest.mark.parametrize("chosen", BOROUGH_CHOICES)
+def test_borough_summary_and_trend(by_borough, chosen):
+    dashboard, _, arrivals = by_borough
+    picked = pick(arrivals, "borough", chosen)
+    grouped = picked.groupby("borough").agg(
+        total_arrivals=("trip_id", "count"),
+        unique_routes=("route_id", "nunique"),
+        unique_stops=("stop_id", "nunique"),
+    )
+    expect(
+        dashboard.summary(chosen),
+        grouped.reset_index(),
+        ["borough", "total_arrivals", "unique_routes", "unique_stops"],
+    )
+    hourly = picked.groupby(["hour", "borough"]).size().reset_index(name="arrivals")
+    expect(dashboard.trend(chosen), hourly, ["hour", "borough", "arrivals"])
+
+
+@pytest.mark.parametrize("hour", [0, 8, 13, 25])
+@pytest.mark.parametrize("chosen", [None, ["1", "SI"], []])
+def test_route_density(by_route, hour, chosen):
+    dashboard, stops, arrivals = by_route
+    keys = ["stop_id", "route_id", "route_color"]
+    counts = pick(arrivals, "route_id", chosen, hour).groupby(keys).size()
+    placed = counts.reset_index(name="stop_count").merge(stops, how="left", on="stop_id")
+    columns = [*keys, "stop_count", "stop_name", "stop_lat", "stop_lon"]
+    expect(dashboard.density(hour, chosen), placed, columns)
+    expect(dashboard.city_map(hour, chosen), placed, columns)
+
+
+@pytest.mark.parametrize("hour", [0, 8])
+@pytest.mark.parametrize("chosen", [None, ["North"]])
+def test_borough_density_fans_out(by_borough, hour, chosen):
+    dashboard, stops, arrivals = by_borough
+    keys = ["stop_id", "borough", "route_id"]
+    counts = pick(arrivals, "borough", chosen, hour).groupby(keys).size()
+    listed = stops[["stop_id", "stop_name", "stop_lat", "stop_lon"]]
+    placed = counts.reset_index(name="stop_count").merge(listed, on="stop_id")
+    assert placed.duplicated(keys).any()
+    expect(
+        dashboard.density(hour, chosen),
+        placed,
+        [*keys, "stop_count", "stop_name", "stop_lat", "stop_lon"],
+    )
+
+
+def ranked(frame, ties, rows):
+    return frame.sort_values(["arrivals", *ties], ascending=[False, *[True] * len(ties)]).head(rows)
+
+
+@pytest.mark.parametrize("rows", [3, 10, 1000])
+def test_route_top_stops(by_route, rows):
+    dashboard, stops, arrivals = by_route
+    counts = pick(arrivals, "route_id", ["1", "2"], 8).groupby("stop_id").size()
+    named = counts.reset_index(name="arrivals").merge(
+        stops[["stop_id", "stop_name"]], how="left", on="stop_id"
+    )
+    got = dashboard.top_stops(8, ["1", "2"], rows)
+    expected = ranked(named, ["stop_id"], rows)
+    assert [row.stop_id for row in got.collect()] == list(expected["stop_id"])
+    expect(got, expected, ["stop_id", "arrivals", "stop_name"])
+
+
+@pytest.mark.parametrize("rows", [3, 10, 1000])
+def test_borough_top_stops(by_borough, rows):
+    dashboard, stops, arrivals = by_borough
+    keys = ["stop_id", "borough"]
+    counts = pick(arrivals, "borough", None, 8).groupby(keys).size()
+    named = counts.reset_index(name="arrivals").merge(stops[["stop_id", "stop_name"]], on="stop_id")
+    expected = ranked(named, [*keys, "stop_name"], rows)
+    expect(dashboard.top_stops(8, None, rows), expected, [*keys, "arrivals", "stop_name"])
+
+
+def kpi_by_hand(arrivals, column, chosen, hour):
+    now = pick(arrivals, column, chosen, hour)
+    before = pick(arrivals, column, chosen, (hour - 1) % 24)
+    figures = {}
+    for name, one in [
+        ("arrivals", len),
+        ("routes", lambda df: df["route_id"].nunique()),
+        ("stops", lambda df: df["stop_id"].nunique()),
+    ]:
+        a, b = one(now), one(before)
+        figures[name] = (a, b, (a - b) / b if b else 0.0)
+    return figures
+
+
+@pytest.mark.parametrize("hour", [0, 8, 13, 14])
+@pytest.mark.parametrize("chosen", [None, ["1"], []])
+def test_route_kpis(by_route, hour, chosen):
+    dashboard, _, arrivals = by_route
+    expected = kpi_by_hand(arrivals, "route_id", chosen, hour)
+    row = dashboard.kpi(hour, chosen).first()
+    for name, (now, before, rate) in expected.items():
+        short = name.removesuffix("s")
+        assert (row[f"curr_{name}"], row[f"prev_{name}"]) == (now, before)
+        assert row[f"{short}_rate"] == pytest.approx(rate)
+    lines = {line.metric: line for line in dashboard.kpi_table(hour, chosen).collect()}
+    texts = [("arrivals", "{:,}", " vs last hour"), ("routes", "{}", ""), ("stops", "{:,}", "")]
+    labels = ["Total Arrivals", "Active Routes", "Active Stops"]
+    for label, (name, text, suffix) in zip(labels, texts):
+        now, _, rate = expected[name]
+        line = lines[label]
+        assert line.value_text == text.format(now)
+        assert line.caption == f"{rate:+.0%}{suffix}"
+        assert line.direction == ("increase" if rate >= 0 else "decrease")
+
+
+def test_all_hours_agree_with_each_hour(by_borough):
+    dashboard, _, arrivals = by_borough
+    day = {row.hour: row for row in dashboard.kpi_day(["North"]).collect()}
+    assert sorted(day) == list(range(24))
+    for hour, row in day.items():
+        for name, (now, before, rate) in kpi_by_hand(arrivals, "borough", ["North"], hour).items():
+            assert (row[f"curr_{name}"], row[f"prev_{name}"]) == (now, before)
+            assert row[f"{name.removesuffix('s')}_rate"] == pytest.approx(rate)
+
+
+def test_domain_and_status(by_route):
+    dashboard, _, arrivals = by_route
+    routes = sorted(arrivals["route_id"].dropna().unique())
+    assert [row.route_id for row in dashboard.domain().collect()] == routes
+    row = dashboard.status().first()
+    assert row.value_text == ", ".join(routes)
+    assert row.caption == f"Analyzing {len(routes)} subway routes"
+
+
+@pytest.mark.parametrize("chosen", [["b", "a"], ["a"], []])
+def test_status_of_a_selection(spark, chosen):
+    row = selection.selection_status(spark, chosen, "regions").first()
+    assert row.value_text == (", ".join(chosen) if chosen else "None")
+    assert row.caption == f"Analyzing {len(chosen)} regions"
+
+
+def test_a_tally_can_be_tallied_again(by_route):
+    dashboard, _, arrivals = by_route
+    twice = tally(tally(dashboard.arrivals, "hour", "route_id", "stop_id"), "route_id")
+    grouped = arrivals.groupby("route_id", dropna=False).agg(
+        n_rows=("stop_id", "size"), n_trips=("trip_id", "count")
+    )
+    expect(twice, grouped.reset_index(), ["route_id", "n_rows", "n_trips"])
+
+
+@pytest.mark.parametrize("rows", [0, 1, 50, 999, 1000, 5000])
+def test_sample_is_exact_and_repeatable(spark, rows):
+    df = spark.range(1000).select(F.col("id"), (F.col("id") % 7).alias("k")).repartition(5)
+    plain = exact_sample(df, rows, ["id"], seed=3)
+    assert plain.count() == min(rows, 1000)
+    assert plain.columns == ["id", "k"]
+    filtered = exact_sample(df.repartition(3), rows, ["id"], seed=3, prefilter=True)
+    assert rows_of(filtered) == rows_of(plain)
+    if rows == 50:
+        assert rows_of(plain) != rows_of(exact_sample(df, rows, ["id"], seed=4))
+
+
+def test_sample_is_uniform(spark):
+    df = spark.range(20000)
+    mean = exact_sample(df, 2000, ["id"]).agg(F.avg("id")).first()[0]
+    assert abs(mean - 10000) < 500
+
+
+@given(
+    st.lists(
+        st.tuples(st.integers(0, 3_000_000), st.integers(0, 3_000_000)), min_size=1, max_size=200
+    )
+)
+@settings(max_examples=15, deadline=None)
+def test_rates_and_texts_equal_pythons(spark, pairs):
+    df = spark.createDataFrame(pairs, "now bigint, before bigint")
+    rate = change_rate(F.col("now"), F.col("before"))
+    got = df.select("now", "before", rate.alias("r"), signed_percent(rate).alias("p"),
+                    trend(rate).alias("t"), thousands(F.col("now")).alias("n")).collect()
+    for row in got:
+        expected = (row.now - row.before) / row.before if row.before else 0
+        assert row.r == expected
+        assert row.p == f"{expected:+.0%}"
+        assert row.t == ("increase" if expected >= 0 else "decrease")
+        assert row.n == f"{row.now:,}"
+
+
+def test_percent_rounds_half_to_even(spark):
+    rates = [0.005, 0.015, 0.025, -0.005, -0.003, 0.285, 12.345, -1.0, 0.0]
+    df = spark.createDataFrame([(r,) for r in rates], "r double")
+    assert [row[0] for row in df.select(signed_percent(F.col("r"))).collect()] == [
+        f"{r:+.0%}" for r in rates
+    ]
+
+
+def test_colour_is_trimmed_on_both_sides(spark):
+    texts = [" 00AEEF ", "\tD82233\n", None]
+    df = spark.createDataFrame([(t,) for t in texts], "c string")
+    assert [row[0] for row in df.select(hex_colour(F.col("c"))).collect()] == [
+        "#00AEEF",
+        "#D82233",
+        None,
+    ]
+
+
+def test_pandas_agrees_that_null_keys_form_no_group():
+    frame = pd.DataFrame({"k": ["a", None], "v": [1, 2]})
+    assert list(frame.groupby("k").size().index) == ["a"]
