@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 TOP_STOPS = 10
 MAP_ROWS = 12000
 
-# 16^4 hash prefixes: the histogram below has at most 65,536 rows.
-_PREFIX_DIGITS = 4
+_HASH_DIGITS = 32
 
 
 def busiest(counts: DataFrame, measure: str, ties: Sequence[str], rows: int = TOP_STOPS) -> DataFrame:
@@ -38,20 +37,28 @@ def exact_sample(
     The sample is the rows with the smallest hash of ``keys`` and ``seed``; ``keys`` should
     tell rows apart. Each task keeps ``rows`` candidates and one task merges them, which is
     right for an aggregate of a few thousand partitions at most. For single arrivals set
-    ``prefilter``: a first pass counts rows per hash prefix, and the second reads on only
-    those up to the prefix by which ``rows`` rows are reached. That bound is exact, so the
-    result is the same, and the last task sees the sample and one prefix more.
+    ``prefilter``: a first pass counts rows by the leading zeros of their hash, 33 counts at
+    most, and the second goes on with only those that have enough of them. The smallest
+    hashes have the most zeros, so the result is the same, and the last task sees about
+    sixteen times the sample at worst, however many rows and tasks there are.
     """
-    order = sample_hash(keys, seed)
-    hashed = df.withColumn("_hash", order)
+    hashed = df.withColumn("_hash", sample_hash(keys, seed))
     if prefilter:
-        prefix = F.substring(order, 1, _PREFIX_DIGITS)
-        histogram = df.groupBy(prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
-        reached = F.sum("n").over(Window.orderBy("prefix"))
-        cutoff = (
-            histogram.withColumn("reached", reached)
-            .filter(F.col("reached") >= rows)
-            .agg(F.coalesce(F.min("prefix"), F.lit("f" * _PREFIX_DIGITS)))
-        )
-        hashed = hashed.filter(F.substring("_hash", 1, _PREFIX_DIGITS) <= cutoff.scalar())
+        hashed = hashed.filter(_digits("_hash") <= _digits_reaching(hashed, rows).scalar())
     return hashed.orderBy("_hash", *keys).limit(rows).drop("_hash")
+
+
+def _digits(hashed: str) -> Column:
+    """Digits of a hash that are left without its leading zeros."""
+    return F.length(F.ltrim(F.col(hashed), F.lit("0")))
+
+
+def _digits_reaching(hashed: DataFrame, rows: int) -> DataFrame:
+    """One value: the fewest digits that at least ``rows`` hashes keep to."""
+    counts = hashed.groupBy(_digits("_hash").alias("digits")).agg(F.count(F.lit(1)).alias("n"))
+    so_far = Window.orderBy("digits").rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        counts.withColumn("reached", F.sum("n").over(so_far))
+        .filter(F.col("reached") >= rows)
+        .agg(F.coalesce(F.min("digits"), F.lit(_HASH_DIGITS)))
+    )

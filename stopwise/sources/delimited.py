@@ -8,6 +8,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
+from stopwise import storage
+
 # Fixed value: first line of a large-file pointer left in place of the real content.
 POINTER_PREFIX = "version https://git-lfs"
 
@@ -17,11 +19,11 @@ class HeaderError(ValueError):
 
 
 def read_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names on the first line; one task that reads one line."""
-    first = spark.read.text(path).first()
-    if first is None:
+    """Column names on the first line, of any one file if ``path`` is a folder."""
+    line = storage.first_line(spark, path)
+    if line is None:
         raise HeaderError(f"{path} is empty")
-    line = first.value.lstrip("﻿")
+    line = line.lstrip("\ufeff")
     if line.startswith(POINTER_PREFIX):
         raise HeaderError(f"{path} is a large-file pointer, not the data itself")
     return next(csv.reader([line]), [])

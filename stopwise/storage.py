@@ -49,3 +49,36 @@ def read_text(spark: SparkSession, path: str) -> str:
         return bytes(stream.readAllBytes()).decode("utf-8")
     finally:
         stream.close()
+
+
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """First line of a text file, or of some data file in a folder; None if there is none.
+
+    Read by the driver without a job, decompressed by the file's suffix as a scan would.
+    """
+    fs, target = _resolve(spark, path)
+    if fs.getFileStatus(target).isDirectory():
+        target = _some_data_file(fs, target)
+        if target is None:
+            return None
+    jvm = spark._jvm
+    stream = fs.open(target)
+    try:
+        codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(fs.getConf())
+        codec = codecs.getCodec(target)
+        text = jvm.java.io.InputStreamReader(
+            codec.createInputStream(stream) if codec else stream, "UTF-8"
+        )
+        return jvm.java.io.BufferedReader(text).readLine()
+    finally:
+        stream.close()
+
+
+def _some_data_file(fs, folder):
+    files = fs.listFiles(folder, True)
+    while files.hasNext():
+        status = files.next()
+        name = status.getPath().getName()
+        if status.getLen() > 0 and not name.startswith(("_", ".")):
+            return status.getPath()
+    return None

@@ -173,3 +173,10 @@ def test_json_tree_with_schema_runs_no_job_to_infer(spark, tmp_path):
     _file(tmp_path, '{"id": 1, "v": 2}\n', "a.json")
     assert rows_of(read_json_tree(spark, str(tmp_path), "id bigint")) == [(1,)]
     assert read_json_tree(spark, str(tmp_path), sampling_ratio=1.0).columns == ["id", "v"]
+
+
+def test_compressed_folder(spark, tmp_path):
+    rows = spark.createDataFrame([("T1", "S1", "08:00:00")], gtfs.STOP_TIMES)
+    path = str(tmp_path / "stop_times.txt")
+    rows.repartition(2).write.option("header", "true").option("compression", "gzip").csv(path)
+    assert rows_of(read_delimited(spark, path, gtfs.STOP_TIMES)) == [("T1", "S1", "08:00:00")]
