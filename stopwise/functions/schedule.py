@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 HOURS_PER_DAY = 24
 
+# Fixed value: the hour a report shows unless told otherwise.
+DEFAULT_HOUR = 8
+
 
 def hour_of(arrival_time: Column, wrap: bool = False, lenient: bool = False) -> Column:
     """Hour of an ``HH:MM:SS`` text.

@@ -31,11 +31,12 @@ def exact_sample(
     keys: Sequence[str] = ("stop_id", "route_id"),
     seed: int = 42,
     prefilter: bool = False,
+    ties: Sequence[str] = (),
 ) -> DataFrame:
     """Exactly min(rows, size) rows, uniform over ``keys`` and the same on every run.
 
-    The sample is the rows with the smallest hash of ``keys`` and ``seed``; ``keys`` should
-    tell rows apart. Each task keeps ``rows`` candidates and one task merges them, which is
+    The sample is the rows with the smallest hash of ``keys`` and ``seed``; ``ties`` orders
+    rows that share their keys. Each task keeps ``rows`` candidates and one task merges them, which is
     right for an aggregate of a few thousand partitions at most. For single arrivals set
     ``prefilter``: a first pass counts rows by the leading zeros of their hash, 33 counts at
     most, and the second goes on with only those that have enough of them. The smallest
@@ -45,7 +46,7 @@ def exact_sample(
     hashed = df.withColumn("_hash", sample_hash(keys, seed))
     if prefilter:
         hashed = hashed.filter(_digits("_hash") <= _digits_reaching(hashed, rows).scalar())
-    return hashed.orderBy("_hash", *keys).limit(rows).drop("_hash")
+    return hashed.orderBy("_hash", *keys, *ties).limit(rows).drop("_hash")
 
 
 def _digits(hashed: str) -> Column:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stopwise.functions.schedule import DEFAULT_HOUR
 from stopwise.operators import kpis, selection, summaries
 from stopwise.operators.activity import tally
 from stopwise.operators.joins import attach_stops
@@ -92,7 +93,7 @@ class Dashboard:
     def trend(self, selected: Sequence[str] | None = None) -> DataFrame:
         return summaries.hourly_trend(self.arrivals, self.layout.by, selected)
 
-    def density(self, hour: int, selected: Sequence[str] | None = None) -> DataFrame:
+    def density(self, hour: int = DEFAULT_HOUR, selected: Sequence[str] | None = None) -> DataFrame:
         """Arrivals of one hour per stop and route, with the place of the stop."""
         layout = self.layout
         counts = summaries.stop_counts(
@@ -102,38 +103,61 @@ class Dashboard:
 
     def city_map(
         self,
-        hour: int,
+        hour: int = DEFAULT_HOUR,
         selected: Sequence[str] | None = None,
         rows: int = MAP_ROWS,
         seed: int = 42,
     ) -> DataFrame:
         """``density``, thinned to an exact random ``rows`` points."""
-        return exact_sample(self.density(hour, selected), rows, self.layout.map_keys, seed)
+        layout = self.layout
+        counts = summaries.stop_counts(
+            self.arrivals, layout.map_keys, "stop_count", hour, layout.by, selected
+        )
+        return self._named(
+            counts,
+            MAP_COLUMNS,
+            lambda df, ties: exact_sample(df, rows, layout.map_keys, seed, ties=ties),
+        )
 
     def top_stops(
-        self, hour: int, selected: Sequence[str] | None = None, rows: int = TOP_STOPS
+        self, hour: int = DEFAULT_HOUR, selected: Sequence[str] | None = None, rows: int = TOP_STOPS
     ) -> DataFrame:
-        """The busiest stops of one hour.
-
-        A left join only adds to a row, so the ranking may come first and the join sees
-        ``rows`` rows; an inner join can lose rows, so there it must come last.
-        """
+        """The busiest stops of one hour."""
         layout = self.layout
         counts = summaries.stop_counts(
             self.arrivals, layout.rank_keys, "arrivals", hour, layout.by, selected
         )
+        return self._named(
+            counts,
+            ["stop_name"],
+            lambda df, ties: busiest(df, "arrivals", [*layout.rank_keys, *ties], rows),
+        )
+
+    def _named(
+        self,
+        counts: DataFrame,
+        columns: Sequence[str],
+        narrow: Callable[[DataFrame, Sequence[str]], DataFrame],
+    ) -> DataFrame:
+        """The few rows ``narrow`` keeps of ``counts`` joined to the stops.
+
+        A left join gives each count a row or more, so the rows kept in the end come from
+        the counts kept before it: narrowing first leaves the join a handful of rows. An
+        inner join can lose counts, so there narrowing waits.
+        """
+        layout = self.layout
         if layout.stop_join == "left":
-            counts = busiest(counts, "arrivals", layout.rank_keys, rows)
-        named = attach_stops(counts, self.stops, ["stop_name"], layout.stop_join, layout.stop_keys)
-        return busiest(named, "arrivals", [*layout.rank_keys, "stop_name"], rows)
+            counts = narrow(counts, ())
+        named = attach_stops(counts, self.stops, columns, layout.stop_join, layout.stop_keys)
+        return narrow(named, columns)
 
-    def kpi(self, hour: int, selected: Sequence[str] | None = None) -> DataFrame:
+    def kpi(self, hour: int = DEFAULT_HOUR, selected: Sequence[str] | None = None) -> DataFrame:
         return kpis.hour_kpi(self.arrivals, hour, self.layout.by, selected)
 
     def kpi_day(self, selected: Sequence[str] | None = None) -> DataFrame:
         return kpis.hour_kpi_all(self.arrivals, self.layout.by, selected)
 
-    def kpi_table(self, hour: int, selected: Sequence[str] | None = None) -> DataFrame:
+    def kpi_table(self, hour: int = DEFAULT_HOUR, selected: Sequence[str] | None = None) -> DataFrame:
         return kpis.kpi_table(self.kpi(hour, selected))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from stopwise.config import Settings
 from stopwise.plans.decorators import expect_or_drop, table, temporary_view
 from stopwise.sinks.tables import write_table
 from stopwise.sinks.views import preview, show_full
@@ -43,6 +44,13 @@ class Medallion:
     bronze_view_name: str = BRONZE_VIEW
     silver_view_name: str = SILVER_VIEW
 
+    @classmethod
+    def configured(cls, spark: SparkSession, settings: Settings | None = None) -> Medallion:
+        """Raw tree and table folder from the environment."""
+        settings = settings or Settings()
+        bronze_path = settings.table_path("bronze")
+        return cls(spark, settings.raw_path, bronze_path, settings.table_format)
+
     def bronze(self) -> DataFrame:
         @table("bronze", path=self.bronze_path, fmt=self.fmt)
         def bronze():

@@ -35,6 +35,7 @@ def write_table(
     replace_schema: bool = False,
     fmt: str = "parquet",
     rebalance: bool = True,
+    staged: bool = True,
 ) -> DataFrame:
     """Write ``df`` to ``path`` and return the stored table.
 
@@ -44,7 +45,8 @@ def write_table(
       and joins small ones. Turn it off for input that is already clustered.
     * An overwrite of a table that exists is written next to it and swapped in when
       complete: a failed job leaves the old rows in place, and the query may read the very
-      table it replaces.
+      table it replaces. The swap is two renames. Where a rename copies the data (object
+      stores) use ``fmt="delta"``, or ``staged=False`` to write in place without that safety.
     """
     spark = df.sparkSession
     if fmt == "delta":
@@ -75,6 +77,9 @@ def write_table(
         # The wider schema goes first: until the new files land, old files read as NULL.
         save_shape(spark, path, shape)
         _save(df, path, "append", shape, fmt)
+    elif mode == "overwrite" and not staged:
+        _save(df, path, "overwrite", shape, fmt)
+        save_shape(spark, path, shape)
     elif mode == "overwrite":
         _replace(spark, df, path, shape, fmt)
     else:

@@ -42,6 +42,14 @@ def test_route_feed_matches_pandas(spark, tmp_path):
     assert (arrivals["route_id"].notna() & arrivals["route_color"].isna()).any()
 
 
+def test_hours_can_be_wrapped(spark, tmp_path):
+    feed = str(write_route_feed(tmp_path / "gtfs"))
+    wrapped = load_feed(spark, feed, wrap_hours=True).arrivals
+    plain = load_feed(spark, feed).arrivals
+    assert wrapped.agg(F.max("hour")).first()[0] == 23
+    assert wrapped.filter("hour = 1").count() == plain.filter("hour = 25").count()
+
+
 def test_ids_keep_zeros_and_na(spark, tmp_path):
     loaded = load_feed(spark, str(write_route_feed(tmp_path / "gtfs")))
     found = {row.stop_id for row in loaded.arrivals.select("stop_id").distinct().collect()}

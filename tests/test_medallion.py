@@ -55,6 +55,13 @@ def test_ingest_time_stays_silver_time_moves(spark, raw, tmp_path):
     assert first[0].silver_ingest_ts < second[0].silver_ingest_ts
 
 
+def test_places_come_from_the_environment(spark, raw, tmp_path, monkeypatch):
+    monkeypatch.setenv("RAW_BASE_PATH", str(raw))
+    monkeypatch.setenv("TABLE_BASE_PATH", str(tmp_path / "tables"))
+    Medallion.configured(spark).run()
+    assert read_table(spark, str(tmp_path / "tables" / "bronze")).count() == 5
+
+
 def test_second_load_widens_bronze(spark, raw, tmp_path):
     flow = Medallion(spark, str(raw), str(tmp_path / "bronze"))
     flow.run()

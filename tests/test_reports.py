@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import pandas as pd
 import pytest
 from conftest import rows_of
@@ -123,6 +125,33 @@ def test_borough_density_fans_out(by_borough, hour, chosen):
     )
 
 
+@pytest.mark.parametrize("rows", [5, 20])
+def test_route_map_is_thinned_the_same_before_and_after_the_join(by_route, rows):
+    dashboard, _, _ = by_route
+    thinned = dashboard.city_map(8, rows=rows)
+    whole = exact_sample(dashboard.density(8), rows, dashboard.layout.map_keys)
+    assert thinned.count() == rows
+    assert rows_of(thinned) == rows_of(whole)
+
+
+def test_borough_map_is_thinned_after_the_join(by_borough):
+    dashboard, _, _ = by_borough
+    everything = rows_of(dashboard.density(8))
+    thinned = rows_of(dashboard.city_map(8, rows=15))
+    assert len(thinned) == 15 and set(thinned) <= set(everything)
+    assert thinned == rows_of(dashboard.city_map(8, rows=15))
+
+
+def test_stops_can_be_matched_within_the_borough(by_borough):
+    dashboard, stops, arrivals = by_borough
+    keys = ["stop_id", "borough"]
+    matched = replace(dashboard, layout=replace(dashboard.layout, stop_keys=tuple(keys)))
+    counts = pick(arrivals, "borough", None, 8).groupby([*keys, "route_id"]).size()
+    placed = counts.reset_index(name="stop_count").merge(stops, on=keys)
+    columns = [*keys, "route_id", "stop_count", "stop_name", "stop_lat", "stop_lon"]
+    expect(matched.density(8), placed, columns)
+
+
 def ranked(frame, ties, rows):
     return frame.sort_values(["arrivals", *ties], ascending=[False, *[True] * len(ties)]).head(rows)
 

@@ -137,6 +137,12 @@ def test_a_table_may_be_overwritten_from_itself(spark, path):
     assert glob.glob(f"{path}__*") == []
 
 
+def test_overwrite_in_place(spark, path):
+    write_table(frame(spark, [(1, "a")], "id int, s string"), path)
+    stored = write_table(frame(spark, [(2, 0.5)], "id int, d double"), path, staged=False)
+    assert rows_of(stored) == rows_of(read_table(spark, path)) == [(2, None, 0.5)]
+
+
 def test_a_failed_overwrite_leaves_the_table(spark, path):
     write_table(spark.range(5), path)
     broken = spark.range(5).select(F.assert_true(F.col("id") < 3).cast("bigint").alias("id"))
