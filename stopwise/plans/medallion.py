@@ -67,7 +67,7 @@ class Medallion:
 
     def silver_view(self) -> DataFrame:
         @temporary_view(self.silver_view_name)
-        @expect_or_drop("assigned_trains_only", SILVER_CONDITION)
+        @expect_or_drop("assigned", SILVER_CONDITION)
         def silver_view():
             return stamp(read_table(self.spark, self.bronze_path, self.fmt), SILVER_TIME)
 

@@ -11,12 +11,12 @@ import logging
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructType
 
 from stopwise import storage
-from stopwise.sources.tables import TableShape, read_table, save_shape, saved_shape
+from stopwise.sources.tables import TableShape, quoted, read_table, save_shape, saved_shape
 
 log = logging.getLogger(__name__)
 
@@ -64,7 +64,7 @@ def write_table(
     if old is None or (replace_schema and mode == "overwrite"):
         shape = TableShape(df.schema, tuple(partition_cols))
     else:
-        shape = _evolve(spark, old, df.schema, tuple(partition_cols), mode, merge_schema)
+        shape = _evolve(old, df.schema, tuple(partition_cols), mode, merge_schema)
         df = _align(df, shape.schema)
 
     if shape.partition_cols and rebalance:
@@ -131,7 +131,6 @@ def _shape_of(spark: SparkSession, path: str, fmt: str) -> TableShape | None:
 
 
 def _evolve(
-    spark: SparkSession,
     old: TableShape,
     incoming: StructType,
     partition_cols: tuple[str, ...],
@@ -142,38 +141,68 @@ def _evolve(
         raise SchemaMismatch(
             f"table is partitioned by {list(old.partition_cols)}, not {list(partition_cols)}"
         )
-    _check_types(old.schema, incoming)
-    merged = (
-        _no_rows(spark, old.schema)
-        .unionByName(_no_rows(spark, incoming), allowMissingColumns=True)
-        .schema
-    )
-    if not merge_schema and len(merged) > len(old.schema):
-        added = merged.names[len(old.schema) :]
-        raise SchemaMismatch(f"columns {added} are new and merge_schema is off")
+    merged = _merge(old.schema, incoming)
+    if not merge_schema and not _same(merged, old.schema):
+        raise SchemaMismatch(
+            f"merge_schema is off and the new rows would change the table from "
+            f"{old.schema.simpleString()} to {merged.simpleString()}"
+        )
     return TableShape(merged, partition_cols or old.partition_cols)
 
 
-def _check_types(old: StructType, new: StructType, prefix: str = "") -> None:
-    known = {field.name.lower(): field.dataType for field in old.fields}
-    for field in new.fields:
-        before = known.get(field.name.lower())
-        if before is None:
-            continue
-        name = prefix + field.name
-        if isinstance(before, StructType) and isinstance(field.dataType, StructType):
-            _check_types(before, field.dataType, f"{name}.")
-        elif before.simpleString() != field.dataType.simpleString():
-            raise SchemaMismatch(
-                f"column {name} is {before.simpleString()} in the table but "
-                f"{field.dataType.simpleString()} in the new rows"
-            )
-
-
-def _no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
-    return spark.createDataFrame([], schema).limit(0)
+def _same(one: DataType, other: DataType) -> bool:
+    """Equal but for nullability."""
+    return one.simpleString() == other.simpleString()
+
+
+def _merge(old: DataType, new: DataType, name: str = "row") -> DataType:
+    """The old type with whatever fields the new one adds, at any depth."""
+    if isinstance(old, StructType) and isinstance(new, StructType):
+        fields = []
+        arriving = {field.name.lower(): field for field in new.fields}
+        for field in old.fields:
+            match = arriving.pop(field.name.lower(), None)
+            kind = _merge(field.dataType, match.dataType, f"{name}.{field.name}") if match else None
+            fields.append(StructField(field.name, kind or field.dataType))
+        return StructType([*fields, *[StructField(f.name, f.dataType) for f in arriving.values()]])
+    if isinstance(old, ArrayType) and isinstance(new, ArrayType):
+        return ArrayType(_merge(old.elementType, new.elementType, f"{name}[]"))
+    if isinstance(old, MapType) and isinstance(new, MapType) and _same(old.keyType, new.keyType):
+        return MapType(old.keyType, _merge(old.valueType, new.valueType, f"{name}[]"))
+    if not _same(old, new):
+        raise SchemaMismatch(
+            f"column {name.removeprefix('row.')} is {old.simpleString()} in the table but "
+            f"{new.simpleString()} in the new rows"
+        )
+    return old
 
 
 def _align(df: DataFrame, schema: StructType) -> DataFrame:
-    """Give ``df`` the columns of ``schema``; the empty side is optimised away."""
-    return _no_rows(df.sparkSession, schema).unionByName(df, allowMissingColumns=True)
+    """Give ``df`` the columns of ``schema``; what it lacks is NULL of the right type."""
+    have = {field.name.lower(): field for field in df.schema.fields}
+    columns = []
+    for field in schema.fields:
+        match = have.get(field.name.lower())
+        column = F.lit(None).cast(field.dataType)
+        if match is not None:
+            column = _fit(F.col(quoted(match.name)), match.dataType, field.dataType)
+        columns.append(column.alias(field.name))
+    return df.select(*columns)
+
+
+def _fit(value: Column, have: DataType, want: DataType) -> Column:
+    if _same(have, want):
+        return value
+    if isinstance(want, ArrayType):
+        return F.transform(value, lambda item: _fit(item, have.elementType, want.elementType))
+    if isinstance(want, MapType):
+        return F.transform_values(value, lambda _, item: _fit(item, have.valueType, want.valueType))
+    inner = {field.name.lower(): field for field in have.fields}
+    parts = []
+    for field in want.fields:
+        match = inner.get(field.name.lower())
+        part = F.lit(None).cast(field.dataType)
+        if match is not None:
+            part = _fit(value.getField(match.name), match.dataType, field.dataType)
+        parts.append(part.alias(field.name))
+    return F.when(value.isNotNull(), F.struct(*parts))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,7 +54,8 @@ def read_table(
     A table written by this library carries its schema in a small file next to the data.
     Using it spares the pass over all file footers that ``mergeSchema`` costs, and keeps
     partition columns from being re-typed (text ``007`` would come back as 7). A folder
-    from elsewhere is read with ``mergeSchema``.
+    from elsewhere is read with ``mergeSchema``. Columns that other programs add to a table
+    of this library show when ``schema`` names them.
     """
     if fmt == "delta":
         return spark.read.format(fmt).load(path)
@@ -64,12 +64,12 @@ def read_table(
         schema = shape.schema if shape else None
     if schema is None:
         return spark.read.format(fmt).option("mergeSchema", "true").load(path)
-    return spark.read.format(fmt).schema(schema).load(path).select(*_quoted(schema.names))
+    return spark.read.format(fmt).schema(schema).load(path).select(*map(quoted, schema.names))
 
 
 def read_view(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def _quoted(names: Sequence[str]) -> list[str]:
-    return [f"`{name.replace('`', '``')}`" for name in names]
+def quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"

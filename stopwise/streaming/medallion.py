@@ -54,7 +54,7 @@ def stream_silver(
     """The silver view over the bronze table's own stream of files."""
 
     @temporary_view(view)
-    @expect_or_drop("assigned_trains_only", SILVER_CONDITION)
+    @expect_or_drop("assigned", SILVER_CONDITION)
     def silver():
         return stamp(spark.readStream.schema(schema).parquet(bronze_path), SILVER_TIME)
 
