@@ -22,7 +22,7 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
     """Column names on the first line, of any one file if ``path`` is a folder."""
     line = storage.first_line(spark, path)
     if line is None:
-        raise HeaderError(f"{path} is empty")
+        raise HeaderError(f"{path} is empty or not there")
     line = line.lstrip("\ufeff")
     if line.startswith(POINTER_PREFIX):
         raise HeaderError(f"{path} is a large-file pointer, not the data itself")
@@ -41,7 +41,8 @@ def read_delimited(
     unknown ones are pruned by the reader. ``enforceSchema=false`` makes each task compare
     the header of its own file, so a folder with one odd file fails instead of shifting
     values into the wrong column. Types are declared, never inferred: ids keep their
-    leading zeros, and only an empty field is NULL.
+    leading zeros, and only an empty field is NULL. A number that cannot be read is NULL
+    too; ``options={"mode": "FAILFAST"}`` makes it an error.
     """
     header = read_header(spark, path)
     missing = [name for name in schema.names if name not in header]

@@ -8,6 +8,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from stopwise import storage
 from stopwise.functions.schedule import hour_of
@@ -45,26 +46,35 @@ def _available(spark: SparkSession, feed: Feed) -> bool:
 
 
 def load_feed(
-    spark: SparkSession, feed: Feed, wrap_hours: bool = False, lenient_hours: bool = False
+    spark: SparkSession,
+    feed: Feed,
+    wrap_hours: bool = False,
+    lenient_hours: bool = False,
+    options: Mapping[str, str] | None = None,
 ) -> RouteFeed:
     """One network: its stops, its arrivals with route, colour and hour, its routes.
 
     Routes are joined to the trips rather than to the stop times: the result is the same and
     only one join is as large as the schedule. Nothing is cached; a caller who asks several
-    questions persists ``arrivals`` or stores them with ``write_table``.
+    questions stores ``arrivals`` with ``write_table``, or a dashboard's digest of them.
+    ``options`` go to the CSV reader.
     """
-    routes = read_delimited(spark, _uri(feed, "routes"), gtfs.ROUTES).withColumn(
+
+    def scan(table: str, schema: StructType) -> DataFrame:
+        return read_delimited(spark, _uri(feed, table), schema, options)
+
+    routes = scan("routes", gtfs.ROUTES).withColumn(
         "route_color", hex_colour(F.col("route_color"))
     )
-    trips = attach_routes(read_delimited(spark, _uri(feed, "trips"), gtfs.TRIPS), routes)
-    stop_times = read_delimited(spark, _uri(feed, "stop_times"), gtfs.STOP_TIMES)
+    trips = attach_routes(scan("trips", gtfs.TRIPS), routes)
+    stop_times = scan("stop_times", gtfs.STOP_TIMES)
     arrivals = attach_trips(stop_times, trips, "left").select(
         *gtfs.STOP_TIMES.names,
         *gtfs.TRIPS.names[1:],
         "route_color",
         hour_of(F.col("arrival_time"), wrap_hours, lenient_hours).alias("hour"),
     )
-    return RouteFeed(read_delimited(spark, _uri(feed, "stops"), gtfs.STOPS), arrivals, routes)
+    return RouteFeed(scan("stops", gtfs.STOPS), arrivals, routes)
 
 
 def load_feeds(
@@ -73,6 +83,7 @@ def load_feeds(
     tag: str = TAG,
     wrap_hours: bool = False,
     lenient_hours: bool = False,
+    options: Mapping[str, str] | None = None,
 ) -> TaggedFeeds:
     """Several networks in one pair of frames, each row tagged with its network.
 
@@ -92,7 +103,7 @@ def load_feeds(
             log.warning("feed %s is not there, skipped", name)
             continue
         for table, frames in tables.items():
-            scan = read_delimited(spark, _uri(feed, table), schemas[table])
+            scan = read_delimited(spark, _uri(feed, table), schemas[table], options)
             frames.append(scan.withColumn(tag, F.lit(name)))
     stops, stop_times, trips = (union_by_name(frames) for frames in tables.values())
     arrivals = attach_trips(stop_times, trips, "inner", on=(tag, "trip_id")).select(

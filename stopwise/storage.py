@@ -12,8 +12,9 @@ def _resolve(spark: SparkSession, path: str):
 
 
 def exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything matches ``path``, which may be a glob as in a scan."""
     fs, target = _resolve(spark, path)
-    return fs.exists(target)
+    return bool(fs.globStatus(target))
 
 
 def has_content(spark: SparkSession, path: str) -> bool:
@@ -52,15 +53,14 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def first_line(spark: SparkSession, path: str) -> str | None:
-    """First line of a text file, or of some data file in a folder; None if there is none.
+    """First line of some data file at ``path`` (file, folder or glob); None without one.
 
     Read by the driver without a job, decompressed by the file's suffix as a scan would.
     """
     fs, target = _resolve(spark, path)
-    if fs.getFileStatus(target).isDirectory():
-        target = _some_data_file(fs, target)
-        if target is None:
-            return None
+    target = _some_data_file(fs, fs.globStatus(target) or [])
+    if target is None:
+        return None
     jvm = spark._jvm
     stream = fs.open(target)
     try:
@@ -74,11 +74,12 @@ def first_line(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def _some_data_file(fs, folder):
-    files = fs.listFiles(folder, True)
-    while files.hasNext():
-        status = files.next()
-        name = status.getPath().getName()
-        if status.getLen() > 0 and not name.startswith(("_", ".")):
-            return status.getPath()
+def _some_data_file(fs, matches):
+    for match in matches:
+        files = fs.listFiles(match.getPath(), True)
+        while files.hasNext():
+            status = files.next()
+            name = status.getPath().getName()
+            if status.getLen() > 0 and not name.startswith(("_", ".")):
+                return status.getPath()
     return None

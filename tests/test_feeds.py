@@ -188,3 +188,21 @@ def test_compressed_folder(spark, tmp_path):
     path = str(tmp_path / "stop_times.txt")
     rows.repartition(2).write.option("header", "true").option("compression", "gzip").csv(path)
     assert rows_of(read_delimited(spark, path, gtfs.STOP_TIMES)) == [("T1", "S1", "08:00:00")]
+
+
+def test_glob_over_part_feeds(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / name).mkdir()
+        _file(tmp_path / name, f"trip_id,stop_id,arrival_time\n{name},S1,08:00:00\n")
+    read = read_delimited(spark, str(tmp_path / "*" / "t.txt"), gtfs.STOP_TIMES)
+    assert rows_of(read.select("trip_id")) == [("a",), ("b",)]
+    with pytest.raises(HeaderError, match="not there"):
+        read_delimited(spark, str(tmp_path / "c*" / "t.txt"), gtfs.STOP_TIMES)
+
+
+def test_unreadable_numbers(spark, tmp_path):
+    path = _file(tmp_path, "stop_id,stop_name,stop_lat,stop_lon\n1,a,north,2\n")
+    assert rows_of(read_delimited(spark, path, gtfs.TAGGED_STOPS)) == [("1", "a", None, 2.0)]
+    strict = read_delimited(spark, path, gtfs.TAGGED_STOPS, {"mode": "FAILFAST"})
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        strict.collect()
