@@ -1,4 +1,4 @@
-"""Synthetic schedule feeds, and the reports recomputed in pandas.
+"""Synthetic schedule feeds, and their rows put together one by one in Python.
 
 The rows cover the awkward cases: orphan trips and routes, stops without a name, a stop in
 two boroughs, hours past 23, an empty hour before a full one, leading zeros, the id ``NA``,
@@ -7,11 +7,11 @@ NULL directions, and equal counts around the tenth rank.
 
 from __future__ import annotations
 
+import csv
 import random
+from collections import defaultdict
 from pathlib import Path
 
-import pandas as pd
-
 BOROUGHS = {"North": "gtfs_n", "South": "gtfs_s", "Missing": "gtfs_x"}
 
 
@@ -81,51 +81,85 @@ def write_borough_feeds(base: Path, seed: int = 2) -> dict[str, str]:
     return {borough: str(base / name) for borough, name in BOROUGHS.items()}
 
 
-def _read(folder, table: str, columns: list[str]) -> pd.DataFrame:
-    text = {name: str for name in columns if name not in ("stop_lat", "stop_lon", "direction_id")}
-    return pd.read_csv(
-        Path(folder) / f"{table}.txt",
-        usecols=columns,
-        dtype=text,
-        keep_default_na=False,
-        na_values=[""],
-    )
-
-
-def pandas_route_feed(folder) -> tuple[pd.DataFrame, pd.DataFrame]:
-    colours = _read(folder, "routes", ["route_id", "route_color"])
-    colours["route_color"] = "#" + colours["route_color"].str.strip()
-    arrivals = (
-        _read(folder, "stop_times", ["trip_id", "stop_id", "arrival_time"])
-        .merge(
-            _read(folder, "trips", ["trip_id", "route_id", "direction_id", "shape_id"]),
-            how="left",
-            on="trip_id",
+def rows(folder, table: str) -> list[dict]:
+    """The lines of a file as dicts; an empty field is None."""
+    with open(Path(folder) / f"{table}.txt", newline="") as lines:
+        return [{k: v or None for k, v in line.items()} for line in csv.DictReader(lines)]
+
+
+def listed_stops(folder, **tags) -> list[dict]:
+    return [
+        {
+            "stop_id": stop["stop_id"],
+            "stop_name": stop["stop_name"],
+            "stop_lat": float(stop["stop_lat"]),
+            "stop_lon": float(stop["stop_lon"]),
+            **tags,
+        }
+        for stop in rows(folder, "stops")
+    ]
+
+
+def route_arrivals(folder) -> list[dict]:
+    """Every stop time with whatever its trip and route say."""
+    trips = {trip["trip_id"]: trip for trip in rows(folder, "trips")}
+    routes = {route["route_id"]: route for route in rows(folder, "routes")}
+    found = []
+    for time in rows(folder, "stop_times"):
+        trip = trips.get(time["trip_id"], {})
+        colour = routes.get(trip.get("route_id"), {}).get("route_color")
+        direction = trip.get("direction_id")
+        found.append(
+            {
+                "trip_id": time["trip_id"],
+                "stop_id": time["stop_id"],
+                "arrival_time": time["arrival_time"],
+                "route_id": trip.get("route_id"),
+                "direction_id": direction and int(direction),
+                "shape_id": trip.get("shape_id"),
+                "route_color": colour and f"#{colour.strip()}",
+                "hour": int(time["arrival_time"][:2]),
+            }
         )
-        .merge(colours, how="left", on="route_id")
-    )
-    arrivals["hour"] = arrivals["arrival_time"].str[:2].astype(int)
-    return _read(folder, "stops", ["stop_id", "stop_name", "stop_lat", "stop_lon"]), arrivals
+    return found
 
 
-def pandas_borough_feeds(feeds: dict[str, str]) -> tuple[pd.DataFrame, pd.DataFrame]:
-    stops, arrivals = [], []
+def borough_arrivals(feeds: dict[str, str]) -> tuple[list[dict], list[dict]]:
+    """Stops and arrivals of the feeds that exist; a stop time needs its own feed's trip."""
+    stops, found = [], []
     for borough, folder in feeds.items():
-        if Path(folder).exists():
-            listed = _read(folder, "stops", ["stop_id", "stop_name", "stop_lat", "stop_lon"])
-            times = _read(folder, "stop_times", ["trip_id", "stop_id", "arrival_time"])
-            joined = times.merge(_read(folder, "trips", ["trip_id", "route_id"]), on="trip_id")
-            stops.append(listed.assign(borough=borough))
-            arrivals.append(
-                joined.assign(borough=borough, hour=joined["arrival_time"].str[:2].astype(int))
-            )
-    return pd.concat(stops), pd.concat(arrivals)
-
-
-def records(frame: pd.DataFrame, columns: list[str]) -> list[tuple]:
-    """Rows as sorted tuples; every missing value is None."""
-    plain = frame[columns].astype(object)
-    return sorted(
-        (tuple(None if pd.isna(v) else v for v in row) for row in plain.itertuples(index=False)),
-        key=repr,
-    )
+        if not Path(folder).exists():
+            continue
+        stops += listed_stops(folder, borough=borough)
+        routes = {trip["trip_id"]: trip["route_id"] for trip in rows(folder, "trips")}
+        for time in rows(folder, "stop_times"):
+            if time["trip_id"] in routes:
+                found.append(
+                    {
+                        "trip_id": time["trip_id"],
+                        "stop_id": time["stop_id"],
+                        "arrival_time": time["arrival_time"],
+                        "route_id": routes[time["trip_id"]],
+                        "borough": borough,
+                        "hour": int(time["arrival_time"][:2]),
+                    }
+                )
+    return stops, found
+
+
+def by_key(items: list[dict], *keys: str) -> dict[tuple, list[dict]]:
+    """Items per key; one that lacks a part of the key is in no group."""
+    groups = defaultdict(list)
+    for item in items:
+        key = tuple(item[name] for name in keys)
+        if None not in key:
+            groups[key].append(item)
+    return groups
+
+
+def distinct(items: list[dict], name: str) -> int:
+    return len({item[name] for item in items} - {None})
+
+
+def tuples(items: list[dict], columns: list[str]) -> list[tuple]:
+    return sorted((tuple(item[name] for name in columns) for item in items), key=repr)

@@ -1,16 +1,18 @@
-"""Every dashboard report against pandas, over single arrivals and over the stored digest."""
+"""Every dashboard report against brute force, over single arrivals and the stored digest."""
 
 from __future__ import annotations
 
 from dataclasses import replace
 
-import pandas as pd
 import pytest
 from conftest import rows_of
 from feeds import (
-    pandas_borough_feeds,
-    pandas_route_feed,
-    records,
+    borough_arrivals,
+    by_key,
+    distinct,
+    listed_stops,
+    route_arrivals,
+    tuples,
     write_borough_feeds,
     write_route_feed,
 )
@@ -28,6 +30,7 @@ from stopwise.sources.feeds import load_feed, load_feeds
 
 ROUTE_CHOICES = [None, ["1", "SI"], ["1", "2", "9", "SI"], ["none"], []]
 BOROUGH_CHOICES = [None, ["North"], ["South", "North"], []]
+PLACE = ["stop_name", "stop_lat", "stop_lon"]
 
 
 @pytest.fixture(scope="module", params=["single", "stored"])
@@ -37,7 +40,7 @@ def by_route(spark, request, tmp_path_factory):
     dashboard = route_dashboard(feed.stops, feed.arrivals)
     if request.param == "stored":
         dashboard = dashboard.stored(str(tmp_path_factory.mktemp("d") / "digest"))
-    return dashboard, *pandas_route_feed(folder)
+    return dashboard, listed_stops(folder), route_arrivals(folder)
 
 
 @pytest.fixture(scope="module", params=["single", "stored"])
@@ -47,54 +50,71 @@ def by_borough(spark, request, tmp_path_factory):
     dashboard = borough_dashboard(feed.stops, feed.arrivals)
     if request.param == "stored":
         dashboard = dashboard.stored(str(tmp_path_factory.mktemp("d") / "digest"))
-    return dashboard, *pandas_borough_feeds(feeds)
+    return dashboard, *borough_arrivals(feeds)
 
 
 def pick(arrivals, column, chosen, hour=None):
-    if hour is not None:
-        arrivals = arrivals[arrivals["hour"] == hour]
-    return arrivals[arrivals[column].notna() if chosen is None else arrivals[column].isin(chosen)]
+    return [
+        a
+        for a in arrivals
+        if (hour is None or a["hour"] == hour)
+        and (a[column] is not None if chosen is None else a[column] in chosen)
+    ]
 
 
-def expect(df, frame, columns):
+def expect(df, expected, columns):
     assert sorted(df.columns) == sorted(columns)
-    assert rows_of(df.select(*columns)) == records(frame, columns)
+    assert rows_of(df.select(*columns)) == sorted(expected, key=repr)
+
+
+def place(counts, stops, keys, inner, match=("stop_id",)):
+    """Each ``(*keys, count)`` with every listing of its stop."""
+    placed = []
+    for count in counts:
+        known = dict(zip(keys, count))
+        listings = [s for s in stops if all(s[name] == known[name] for name in match)]
+        if not listings and not inner:
+            listings = [dict.fromkeys(PLACE)]
+        placed += [(*count, *[listing[name] for name in PLACE]) for listing in listings]
+    return placed
 
 
 @pytest.mark.parametrize("chosen", ROUTE_CHOICES)
 def test_route_summary_and_trend(by_route, chosen):
     dashboard, _, arrivals = by_route
     picked = pick(arrivals, "route_id", chosen)
-    grouped = picked.groupby("route_id").agg(
-        total_arrivals=("trip_id", "count"),
-        unique_stops=("stop_id", "nunique"),
-        directions=("direction_id", "nunique"),
-    )
     expect(
         dashboard.summary(chosen),
-        grouped.reset_index(),
+        [
+            (*key, len(group), distinct(group, "stop_id"), distinct(group, "direction_id"))
+            for key, group in by_key(picked, "route_id").items()
+        ],
         ["route_id", "total_arrivals", "unique_stops", "directions"],
     )
-    hourly = picked.groupby(["hour", "route_id"]).size().reset_index(name="arrivals")
-    expect(dashboard.trend(chosen), hourly, ["hour", "route_id", "arrivals"])
+    expect(
+        dashboard.trend(chosen),
+        [(*key, len(group)) for key, group in by_key(picked, "hour", "route_id").items()],
+        ["hour", "route_id", "arrivals"],
+    )
 
 
 @pytest.mark.parametrize("chosen", BOROUGH_CHOICES)
 def test_borough_summary_and_trend(by_borough, chosen):
     dashboard, _, arrivals = by_borough
     picked = pick(arrivals, "borough", chosen)
-    grouped = picked.groupby("borough").agg(
-        total_arrivals=("trip_id", "count"),
-        unique_routes=("route_id", "nunique"),
-        unique_stops=("stop_id", "nunique"),
-    )
     expect(
         dashboard.summary(chosen),
-        grouped.reset_index(),
+        [
+            (*key, len(group), distinct(group, "route_id"), distinct(group, "stop_id"))
+            for key, group in by_key(picked, "borough").items()
+        ],
         ["borough", "total_arrivals", "unique_routes", "unique_stops"],
     )
-    hourly = picked.groupby(["hour", "borough"]).size().reset_index(name="arrivals")
-    expect(dashboard.trend(chosen), hourly, ["hour", "borough", "arrivals"])
+    expect(
+        dashboard.trend(chosen),
+        [(*key, len(group)) for key, group in by_key(picked, "hour", "borough").items()],
+        ["hour", "borough", "arrivals"],
+    )
 
 
 @pytest.mark.parametrize("hour", [0, 8, 13, 25])
@@ -102,9 +122,9 @@ def test_borough_summary_and_trend(by_borough, chosen):
 def test_route_density(by_route, hour, chosen):
     dashboard, stops, arrivals = by_route
     keys = ["stop_id", "route_id", "route_color"]
-    counts = pick(arrivals, "route_id", chosen, hour).groupby(keys).size()
-    placed = counts.reset_index(name="stop_count").merge(stops, how="left", on="stop_id")
-    columns = [*keys, "stop_count", "stop_name", "stop_lat", "stop_lon"]
+    groups = by_key(pick(arrivals, "route_id", chosen, hour), *keys)
+    placed = place([(*key, len(g)) for key, g in groups.items()], stops, keys, inner=False)
+    columns = [*keys, "stop_count", *PLACE]
     expect(dashboard.density(hour, chosen), placed, columns)
     expect(dashboard.city_map(hour, chosen), placed, columns)
 
@@ -114,15 +134,10 @@ def test_route_density(by_route, hour, chosen):
 def test_borough_density_fans_out(by_borough, hour, chosen):
     dashboard, stops, arrivals = by_borough
     keys = ["stop_id", "borough", "route_id"]
-    counts = pick(arrivals, "borough", chosen, hour).groupby(keys).size()
-    listed = stops[["stop_id", "stop_name", "stop_lat", "stop_lon"]]
-    placed = counts.reset_index(name="stop_count").merge(listed, on="stop_id")
-    assert placed.duplicated(keys).any()
-    expect(
-        dashboard.density(hour, chosen),
-        placed,
-        [*keys, "stop_count", "stop_name", "stop_lat", "stop_lon"],
-    )
+    groups = by_key(pick(arrivals, "borough", chosen, hour), *keys)
+    placed = place([(*key, len(g)) for key, g in groups.items()], stops, keys, inner=True)
+    assert len({row[:3] for row in placed}) < len(placed)
+    expect(dashboard.density(hour, chosen), placed, [*keys, "stop_count", *PLACE])
 
 
 @pytest.mark.parametrize("rows", [5, 20])
@@ -144,53 +159,49 @@ def test_borough_map_is_thinned_after_the_join(by_borough):
 
 def test_stops_can_be_matched_within_the_borough(by_borough):
     dashboard, stops, arrivals = by_borough
-    keys = ["stop_id", "borough"]
-    matched = replace(dashboard, layout=replace(dashboard.layout, stop_keys=tuple(keys)))
-    counts = pick(arrivals, "borough", None, 8).groupby([*keys, "route_id"]).size()
-    placed = counts.reset_index(name="stop_count").merge(stops, on=keys)
-    columns = [*keys, "route_id", "stop_count", "stop_name", "stop_lat", "stop_lon"]
-    expect(matched.density(8), placed, columns)
-
-
-def ranked(frame, ties, rows):
-    return frame.sort_values(["arrivals", *ties], ascending=[False, *[True] * len(ties)]).head(rows)
+    match = ("stop_id", "borough")
+    matched = replace(dashboard, layout=replace(dashboard.layout, stop_keys=match))
+    keys = [*match, "route_id"]
+    groups = by_key(pick(arrivals, "borough", None, 8), *keys)
+    placed = place([(*key, len(g)) for key, g in groups.items()], stops, keys, True, match)
+    expect(matched.density(8), placed, [*keys, "stop_count", *PLACE])
 
 
 @pytest.mark.parametrize("rows", [3, 10, 1000])
 def test_route_top_stops(by_route, rows):
     dashboard, stops, arrivals = by_route
-    counts = pick(arrivals, "route_id", ["1", "2"], 8).groupby("stop_id").size()
-    named = counts.reset_index(name="arrivals").merge(
-        stops[["stop_id", "stop_name"]], how="left", on="stop_id"
-    )
-    got = dashboard.top_stops(8, ["1", "2"], rows)
-    expected = ranked(named, ["stop_id"], rows)
-    assert [row.stop_id for row in got.collect()] == list(expected["stop_id"])
-    expect(got, expected, ["stop_id", "arrivals", "stop_name"])
+    names = {stop["stop_id"]: stop["stop_name"] for stop in stops}
+    groups = by_key(pick(arrivals, "route_id", ["1", "2"], 8), "stop_id")
+    order = sorted((-len(group), stop) for (stop,), group in groups.items())[:rows]
+    got = dashboard.top_stops(8, ["1", "2"], rows).collect()
+    assert [(r.stop_id, r.arrivals, r.stop_name) for r in got] == [
+        (stop, -less, names.get(stop)) for less, stop in order
+    ]
 
 
 @pytest.mark.parametrize("rows", [3, 10, 1000])
 def test_borough_top_stops(by_borough, rows):
     dashboard, stops, arrivals = by_borough
-    keys = ["stop_id", "borough"]
-    counts = pick(arrivals, "borough", None, 8).groupby(keys).size()
-    named = counts.reset_index(name="arrivals").merge(stops[["stop_id", "stop_name"]], on="stop_id")
-    expected = ranked(named, [*keys, "stop_name"], rows)
-    expect(dashboard.top_stops(8, None, rows), expected, [*keys, "arrivals", "stop_name"])
+    groups = by_key(pick(arrivals, "borough", None, 8), "stop_id", "borough")
+    order = sorted(
+        (-len(group), stop, borough, listing["stop_name"])
+        for (stop, borough), group in groups.items()
+        for listing in stops
+        if listing["stop_id"] == stop
+    )
+    got = dashboard.top_stops(8, None, rows).collect()
+    assert [(-r.arrivals, r.stop_id, r.borough, r.stop_name) for r in got] == order[:rows]
 
 
 def kpi_by_hand(arrivals, column, chosen, hour):
-    now = pick(arrivals, column, chosen, hour)
-    before = pick(arrivals, column, chosen, (hour - 1) % 24)
-    figures = {}
-    for name, one in [
-        ("arrivals", len),
-        ("routes", lambda df: df["route_id"].nunique()),
-        ("stops", lambda df: df["stop_id"].nunique()),
-    ]:
-        a, b = one(now), one(before)
-        figures[name] = (a, b, (a - b) / b if b else 0.0)
-    return figures
+    """Figure name to (now, an hour ago, change)."""
+    two = [pick(arrivals, column, chosen, h) for h in (hour, hour - 1 if hour else 23)]
+    pairs = {
+        "arrivals": [len(items) for items in two],
+        "routes": [distinct(items, "route_id") for items in two],
+        "stops": [distinct(items, "stop_id") for items in two],
+    }
+    return {name: (a, b, a / b - 1 if b else 0.0) for name, (a, b) in pairs.items()}
 
 
 @pytest.mark.parametrize("hour", [0, 8, 13, 14])
@@ -204,14 +215,16 @@ def test_route_kpis(by_route, hour, chosen):
         assert (row[f"curr_{name}"], row[f"prev_{name}"]) == (now, before)
         assert row[f"{short}_rate"] == pytest.approx(rate)
     lines = {line.metric: line for line in dashboard.kpi_table(hour, chosen).collect()}
-    texts = [("arrivals", "{:,}", " vs last hour"), ("routes", "{}", ""), ("stops", "{:,}", "")]
-    labels = ["Total Arrivals", "Active Routes", "Active Stops"]
-    for label, (name, text, suffix) in zip(labels, texts):
-        now, _, rate = expected[name]
+    for label, name, suffix in [
+        ("Total Arrivals", "arrivals", " vs last hour"),
+        ("Active Routes", "routes", ""),
+        ("Active Stops", "stops", ""),
+    ]:
         line = lines[label]
-        assert line.value_text == text.format(now)
-        assert line.caption == f"{rate:+.0%}{suffix}"
-        assert line.direction == ("increase" if rate >= 0 else "decrease")
+        assert (line.current_value, line.previous_value) == expected[name][:2]
+        assert line.value_text == format(line.current_value, ",")
+        assert line.caption == format(line.rate, "+.0%") + suffix
+        assert line.direction == ("decrease" if line.rate < 0 else "increase")
 
 
 def test_all_hours_agree_with_each_hour(by_borough):
@@ -226,7 +239,7 @@ def test_all_hours_agree_with_each_hour(by_borough):
 
 def test_domain_and_status(by_route):
     dashboard, _, arrivals = by_route
-    routes = sorted(arrivals["route_id"].dropna().unique())
+    routes = sorted({a["route_id"] for a in arrivals} - {None})
     assert [row.route_id for row in dashboard.domain().collect()] == routes
     row = dashboard.status().first()
     assert row.value_text == ", ".join(routes)
@@ -243,10 +256,14 @@ def test_status_of_a_selection(spark, chosen):
 def test_a_tally_can_be_tallied_again(by_route):
     dashboard, _, arrivals = by_route
     twice = tally(tally(dashboard.arrivals, "hour", "route_id", "stop_id"), "route_id")
-    grouped = arrivals.groupby("route_id", dropna=False).agg(
-        n_rows=("stop_id", "size"), n_trips=("trip_id", "count")
-    )
-    expect(twice, grouped.reset_index(), ["route_id", "n_rows", "n_trips"])
+    routes = {a["route_id"] for a in arrivals}
+    sizes = {route: sum(a["route_id"] == route for a in arrivals) for route in routes}
+    expect(twice, [(r, n, n) for r, n in sizes.items()], ["route_id", "n_rows", "n_trips"])
+
+
+def test_a_missing_trip_id_counts_as_a_row_only(spark):
+    df = spark.createDataFrame([("a", "T"), ("a", None), (None, "T")], "route_id string, trip_id string")
+    assert rows_of(tally(df, "route_id")) == [("a", 2, 1), (None, 1, 1)]
 
 
 @pytest.mark.parametrize("rows", [0, 1, 50, 999, 1000, 5000])
@@ -302,8 +319,3 @@ def test_colour_is_trimmed_on_both_sides(spark):
         "#D82233",
         None,
     ]
-
-
-def test_pandas_agrees_that_null_keys_form_no_group():
-    frame = pd.DataFrame({"k": ["a", None], "v": [1, 2]})
-    assert list(frame.groupby("k").size().index) == ["a"]
