@@ -7,7 +7,6 @@ NULLs where the new rows lack them) and adds the new ones; a changed type is an
 
 from __future__ import annotations
 
-import logging
 import uuid
 from collections.abc import Sequence
 
@@ -18,7 +17,7 @@ from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructT
 from stopwise import storage
 from stopwise.sources.tables import TableShape, quoted, read_table, save_shape, saved_shape
 
-log = logging.getLogger(__name__)
+SAVE_MODES = ("overwrite", "append", "ignore", "error", "errorifexists")
 
 
 class SchemaMismatch(ValueError):
@@ -54,10 +53,12 @@ def write_table(
         return read_table(spark, path, fmt)
 
     mode = mode.lower()
+    if mode not in SAVE_MODES:
+        raise ValueError(f"unknown save mode {mode!r}")
     present = storage.has_content(spark, path)
     if present and mode == "ignore":
         return read_table(spark, path, fmt)
-    if present and mode in ("error", "errorifexists"):
+    if present and mode.startswith("error"):
         raise FileExistsError(f"{path} already exists")
 
     old = _shape_of(spark, path, fmt) if present else None
@@ -68,7 +69,7 @@ def write_table(
         df = _align(df, shape.schema)
 
     if shape.partition_cols and rebalance:
-        df = df.hint("rebalance", *[F.col(name) for name in shape.partition_cols])
+        df = df.hint("rebalance", *[F.col(quoted(name)) for name in shape.partition_cols])
 
     if not present:
         _save(df, path, "overwrite", shape, fmt)
@@ -77,13 +78,11 @@ def write_table(
         # The wider schema goes first: until the new files land, old files read as NULL.
         save_shape(spark, path, shape)
         _save(df, path, "append", shape, fmt)
-    elif mode == "overwrite" and not staged:
-        _save(df, path, "overwrite", shape, fmt)
-        save_shape(spark, path, shape)
-    elif mode == "overwrite":
+    elif staged:
         _replace(spark, df, path, shape, fmt)
     else:
-        raise ValueError(f"unknown save mode {mode!r}")
+        _save(df, path, "overwrite", shape, fmt)
+        save_shape(spark, path, shape)
     spark.catalog.refreshByPath(path)
     return read_table(spark, path, fmt, shape.schema)
 
@@ -125,9 +124,21 @@ def _write_delta(df, path, mode, partition_cols, merge_schema, replace_schema) -
     writer.save(path)
 
 
-def _shape_of(spark: SparkSession, path: str, fmt: str) -> TableShape | None:
-    """Shape of a stored table; files written by other programs are asked for theirs."""
-    return saved_shape(spark, path) or TableShape(read_table(spark, path, fmt).schema)
+def _shape_of(spark: SparkSession, path: str, fmt: str) -> TableShape:
+    """Shape of a stored table; a folder of other origin is asked for its own."""
+    shape = saved_shape(spark, path)
+    if shape is None:
+        found = read_table(spark, path, fmt)
+        shape = TableShape(found.schema, _partition_cols(found))
+    return shape
+
+
+def _partition_cols(df: DataFrame) -> tuple[str, ...]:
+    """Columns that stand as ``name=value`` folders in the path of a file of ``df``."""
+    some_file = df.select("_metadata.file_path").first()
+    folders = some_file.file_path.split("/") if some_file else []
+    names = [folder.partition("=")[0] for folder in folders if "=" in folder]
+    return tuple(name for name in names if name in df.columns)
 
 
 def _evolve(

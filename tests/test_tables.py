@@ -40,8 +40,9 @@ def test_ignore_and_error_modes(spark, path):
     assert rows_of(write_table(two, path, mode="ignore")) == [(1,)]
     with pytest.raises(FileExistsError):
         write_table(two, path, mode="error")
-    with pytest.raises(ValueError, match="unknown save mode"):
-        write_table(two, path, mode="upsert")
+    for place in (path, path + "_new"):
+        with pytest.raises(ValueError, match="unknown save mode"):
+            write_table(two, place, mode="upsert")
     assert rows_of(read_table(spark, path)) == [(1,)]
 
 
@@ -233,6 +234,14 @@ def test_folder_of_other_origin_is_read_with_merged_schema(spark, path):
     assert read_table(spark, path).count() == 3
 
 
+def test_partitioned_folder_of_other_origin_stays_partitioned(spark, path):
+    frame(spark, [(1, "a"), (2, "b")], "id int, k string").write.partitionBy("k").parquet(path)
+    write_table(frame(spark, [(3, "c", 0.5)], "id int, k string, d double"), path, mode="append")
+    assert os.path.isdir(f"{path}/k=c") and not glob.glob(f"{path}/*.parquet")
+    stored = read_table(spark, path).select("id", "k", "d")
+    assert rows_of(stored) == [(1, "a", None), (2, "b", None), (3, "c", 0.5)]
+
+
 def test_empty_folder_counts_as_no_table(spark, path):
     os.makedirs(path)
     assert rows_of(write_table(frame(spark, [(1,)], "id int"), path, mode="error")) == [(1,)]
