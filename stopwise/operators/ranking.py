@@ -14,7 +14,9 @@ MAP_ROWS = 12000
 _HASH_DIGITS = 32
 
 
-def busiest(counts: DataFrame, measure: str, ties: Sequence[str], rows: int = TOP_STOPS) -> DataFrame:
+def busiest(
+    counts: DataFrame, measure: str, ties: Sequence[str], rows: int = TOP_STOPS
+) -> DataFrame:
     """The ``rows`` largest by ``measure``; equal ones in the order of ``ties``."""
     order = [F.desc(measure), *[F.asc_nulls_last(name) for name in ties]]
     return counts.orderBy(*order).limit(rows)
@@ -35,13 +37,15 @@ def exact_sample(
 ) -> DataFrame:
     """Exactly min(rows, size) rows, uniform over ``keys`` and the same on every run.
 
-    The sample is the rows with the smallest hash of ``keys`` and ``seed``; ``ties`` orders
-    rows that share their keys. Each task keeps ``rows`` candidates and one task merges them, which is
-    right for an aggregate of a few thousand partitions at most. For single arrivals set
-    ``prefilter``: a first pass counts rows by the leading zeros of their hash, 33 counts at
-    most, and the second goes on with only those that have enough of them. The smallest
-    hashes have the most zeros, so the result is the same, and the last task sees about
-    sixteen times the sample at worst, however many rows and tasks there are.
+    The sample is the rows with the smallest hash of ``keys`` and ``seed``. ``keys`` should
+    tell rows apart; rows that share them are drawn together, in the order of ``ties``.
+
+    Each task keeps ``rows`` candidates and one task merges them, which is right for an
+    aggregate of a few thousand partitions at most. For single arrivals set ``prefilter``: a
+    first pass counts rows by the leading zeros of their hash, 33 counts at most, and the
+    second goes on with only those that have enough of them. The smallest hashes have the
+    most zeros, so the result is the same, and the last task sees about sixteen times the
+    sample, however many rows and tasks there are.
     """
     hashed = df.withColumn("_hash", sample_hash(keys, seed))
     if prefilter:

@@ -157,7 +157,9 @@ class Dashboard:
     def kpi_day(self, selected: Sequence[str] | None = None) -> DataFrame:
         return kpis.hour_kpi_all(self.arrivals, self.layout.by, selected)
 
-    def kpi_table(self, hour: int = DEFAULT_HOUR, selected: Sequence[str] | None = None) -> DataFrame:
+    def kpi_table(
+        self, hour: int = DEFAULT_HOUR, selected: Sequence[str] | None = None
+    ) -> DataFrame:
         return kpis.kpi_table(self.kpi(hour, selected))
 
 

@@ -1,6 +1,6 @@
 """Run queries on Spark and their SQL in DuckDB, and compare rows, names and types.
 
-    python -m harness.compare [sf_dir] [query ...]
+    python -m stopwise_testbed.compare [sf_dir] [query ...]
 """
 
 from __future__ import annotations
@@ -13,8 +13,8 @@ import time
 import duckdb
 from pyspark.sql import SparkSession
 
-from harness.oracle import ORACLE
-from harness.queries import REGISTRY
+from stopwise_testbed.oracle import ORACLE
+from stopwise_testbed.queries import REGISTRY
 from stopwise.session import get_session
 
 TABLES = (

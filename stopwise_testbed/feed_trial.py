@@ -1,6 +1,6 @@
 """A feed of a city's size, loaded and reported on.
 
-    python -m harness.feed_trial FOLDER [copies] [sf_dir]
+    python -m stopwise_testbed.feed_trial FOLDER [copies] [sf_dir]
 
 Writes the feed into FOLDER (events repeated ``copies`` times as stop times, customers as
 stops), then times the whole work of a route dashboard on it: read the text files, join,
@@ -18,8 +18,8 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harness import roles
-from harness.compare import local_session
+from stopwise_testbed import roles
+from stopwise_testbed.compare import local_session
 from stopwise.plans.dashboards import route_dashboard
 from stopwise.sources.feeds import load_feed
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-# Arrivals, stop lists and boroughs as in harness.roles.
+# Arrivals, stop lists and boroughs as in stopwise_testbed.roles.
 ARRIVALS = """
 with st as (
   select event_id as trip_id, user_id as stop_id,
@@ -103,7 +103,9 @@ ORACLE: dict[str, str] = {
     "append_write": "select * from orders union all select * from orders",
     "partitioned_write": "select * from orders",
     "schema_replace_write": "select o_orderkey, o_totalprice as price from orders",
-    "raw_landing": "select least(count(*), 1000) as n_rows from events",
+    "raw_landing": """
+        select event_id, user_id, event_type, event_type <> 'error' as is_assigned
+        from events""",
     "schema_evolution_append": """
         select o_orderkey, o_orderstatus, cast(null as varchar) as o_orderpriority
         from orders where o_orderstatus = 'F'

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from harness import roles
-from harness.roles import read
+from stopwise_testbed import roles
+from stopwise_testbed.roles import read
 from stopwise.functions.schedule import hour_of
 from stopwise.functions.text import hex_colour
 from stopwise.operators import expectations, joins, kpis, selection, summaries
@@ -149,9 +149,10 @@ def schema_replace_write(spark, sf):
 
 @query
 def raw_landing(spark, sf):
-    """First-generation bronze; the preview is counted, its rows are any."""
-    first_rows = land_raw(spark, _raw_events(spark, sf), scratch_dir(spark, "bronze"))
-    return first_rows.agg(F.count(F.lit(1)).alias("n_rows"))
+    """First-generation bronze: the stored table behind the preview that is returned."""
+    bronze = scratch_dir(spark, "bronze")
+    land_raw(spark, _raw_events(spark, sf), bronze)
+    return read_table(spark, bronze).select("event_id", "user_id", "event_type", "is_assigned")
 
 
 def _two_shapes(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:

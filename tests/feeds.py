@@ -27,7 +27,10 @@ def write_route_feed(folder: Path, seed: int = 1) -> Path:
         folder,
         "stops",
         "stop_name,stop_id,stop_lat,stop_lon,location_type,parent_station",
-        [f'"Stop {s}, at the ""corner""",{s},40.{i:02d},-73.{i:02d},0,' for i, s in enumerate(stops)],
+        [
+            f'"Stop {stop}, at the ""corner""",{stop},40.{i:02d},-73.{i:02d},0,'
+            for i, stop in enumerate(stops)
+        ],
     )
     _write(
         folder,

@@ -7,9 +7,9 @@ import importlib
 import pytest
 from conftest import SMALL
 
-from harness.compare import check, connect
-from harness.oracle import ORACLE
-from harness.queries import REGISTRY
+from stopwise_testbed.compare import check, connect
+from stopwise_testbed.oracle import ORACLE
+from stopwise_testbed.queries import REGISTRY
 
 
 @pytest.fixture(scope="module")

@@ -262,7 +262,8 @@ def test_a_tally_can_be_tallied_again(by_route):
 
 
 def test_a_missing_trip_id_counts_as_a_row_only(spark):
-    df = spark.createDataFrame([("a", "T"), ("a", None), (None, "T")], "route_id string, trip_id string")
+    rows = [("a", "T"), ("a", None), (None, "T")]
+    df = spark.createDataFrame(rows, "route_id string, trip_id string")
     assert rows_of(tally(df, "route_id")) == [("a", 2, 1), (None, 1, 1)]
 
 

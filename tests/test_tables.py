@@ -84,7 +84,8 @@ def test_without_merge_new_columns_are_refused(spark, path, mode):
 
 def test_nested_fields_evolve(spark, path):
     write_table(frame(spark, [(1, (2,))], "id int, v struct<a:int>"), path)
-    write_table(frame(spark, [(2, (3, "b"))], "id int, v struct<a:int,b:string>"), path, mode="append")
+    wider = frame(spark, [(2, (3, "b"))], "id int, v struct<a:int,b:string>")
+    write_table(wider, path, mode="append")
     got = read_table(spark, path).orderBy("id").select("v.a", "v.b").collect()
     assert [tuple(row) for row in got] == [(2, None), (3, "b")]
     with pytest.raises(SchemaMismatch, match=r"v\.a"):
@@ -93,7 +94,11 @@ def test_nested_fields_evolve(spark, path):
 
 def test_fields_inside_arrays_and_maps_evolve(spark, path):
     write_table(
-        frame(spark, [(1, [(2,), None], {"k": (3,)})], "id int, a array<struct<x:int>>, m map<string,struct<x:int>>"),
+        frame(
+            spark,
+            [(1, [(2,), None], {"k": (3,)})],
+            "id int, a array<struct<x:int>>, m map<string,struct<x:int>>",
+        ),
         path,
     )
     stored = write_table(
@@ -183,7 +188,8 @@ def test_append_follows_the_partitioning(spark, path):
     assert saved_shape(spark, path).partition_cols == ("k",)
     assert rows_of(read_table(spark, path)) == [(1, "a"), (2, "b")]
     with pytest.raises(SchemaMismatch, match="partitioned by"):
-        write_table(frame(spark, [(2, "b")], "id int, k string"), path, mode="append", partition_cols=["id"])
+        two = frame(spark, [(2, "b")], "id int, k string")
+        write_table(two, path, mode="append", partition_cols=["id"])
 
 
 def test_hot_partition_is_written_by_several_tasks(spark, path, conf):
@@ -325,5 +331,6 @@ def test_failing_below_table_comes_before_the_write(spark, path):
 
 def test_stored_schema_spares_the_footer_pass(spark, path):
     write_table(spark.range(10), path)
-    assert "mergeschema" not in read_table(spark, path)._jdf.queryExecution().logical().toString().lower()
+    logical = read_table(spark, path)._jdf.queryExecution().logical().toString()
+    assert "mergeschema" not in logical.lower()
     assert saved_shape(spark, path).schema.names == ["id"]
