@@ -20,7 +20,7 @@ def exists(spark: SparkSession, path: str) -> bool:
 def has_content(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` is a file, or a folder with anything in it."""
     fs, target = _resolve(spark, path)
-    return fs.exists(target) and len(fs.listStatus(target)) > 0
+    return fs.exists(target) and fs.listStatusIterator(target).hasNext()
 
 
 def delete(spark: SparkSession, path: str) -> None:

@@ -23,7 +23,7 @@ depots as (
   join region on n_regionkey = r_regionkey),
 routes as (
   select distinct event_type as route_id,
-         concat('#', substr(md5(event_type), 1, 6)) as route_color
+         concat('#', upper(substr(event_type, 1, 6))) as route_color
   from events where event_type <> 'error'),
 arr as (
   select st.*, stops.borough, routes.route_color

@@ -410,7 +410,7 @@ def subway_arrivals(spark, sf):
         .distinct()
         .select(
             "route_id",
-            F.concat(F.substring(F.md5("route_id"), 1, 6), F.lit(" ")).alias("route_color"),
+            F.concat(F.upper(F.substring("route_id", 1, 6)), F.lit(" ")).alias("route_color"),
             F.upper("route_id").alias("route_short_name"),
         )
     )

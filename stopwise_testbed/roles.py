@@ -54,7 +54,7 @@ def arrivals(spark: SparkSession, sf: str) -> DataFrame:
 def routes(spark: SparkSession, sf: str) -> DataFrame:
     """All event types but errors: arrivals of that route find no colour."""
     kinds = read(spark, sf, "events").select(F.col("event_type").alias("route_id"))
-    colour = hex_colour(F.substring(F.md5("route_id"), 1, 6))
+    colour = hex_colour(F.upper(F.substring("route_id", 1, 6)))
     return kinds.filter(F.col("route_id") != "error").distinct().withColumn("route_color", colour)
 
 
