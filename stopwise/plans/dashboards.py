@@ -70,12 +70,16 @@ class Dashboard:
         return tally(self.arrivals, *self.layout.tally_keys)
 
     def stored(self, path: str) -> Dashboard:
-        """The same reports over a stored digest, partitioned by hour.
+        """The same reports over a stored digest, partitioned by hour, sorted by selector.
 
-        The schedule is read and joined once, here. Each report then reads the digest, and
-        the hourly ones only their one or two partitions of it.
+        The schedule is read and joined once, here. Each report then reads the digest, the
+        hourly ones only their one or two partitions of it, and of those the row groups that
+        may hold selected values.
         """
-        return replace(self, arrivals=write_table(self.digest(), path, partition_cols=["hour"]))
+        digest = write_table(
+            self.digest(), path, partition_cols=["hour"], sort_cols=[self.layout.by]
+        )
+        return replace(self, arrivals=digest)
 
     def domain(self) -> DataFrame:
         return selection.distinct_values(self.arrivals, self.layout.by)

@@ -34,6 +34,7 @@ def write_table(
     replace_schema: bool = False,
     fmt: str = "parquet",
     rebalance: bool = True,
+    sort_cols: Sequence[str] = (),
     staged: bool = True,
 ) -> DataFrame:
     """Write ``df`` to ``path`` and return the stored table.
@@ -42,6 +43,7 @@ def write_table(
     * ``rebalance`` shuffles a partitioned write by its partition columns, so each value
       gets few files rather than one per task. AQE cuts a hot value into several writers
       and joins small ones. Turn it off for input that is already clustered.
+    * ``sort_cols`` orders the rows of each file, so that a filter on them skips row groups.
     * An overwrite of a table that exists is written next to it and swapped in when
       complete: a failed job leaves the old rows in place, and the query may read the very
       table it replaces. The swap is two renames. Where a rename copies the data (object
@@ -70,6 +72,10 @@ def write_table(
 
     if shape.partition_cols and rebalance:
         df = df.hint("rebalance", *[F.col(quoted(name)) for name in shape.partition_cols])
+    if sort_cols:
+        # Partition columns first: the order the writer asks for, so it does not sort again.
+        order = [*shape.partition_cols, *sort_cols]
+        df = df.sortWithinPartitions(*[F.col(quoted(name)) for name in order])
 
     if not present:
         _save(df, path, "overwrite", shape, fmt)

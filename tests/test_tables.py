@@ -192,6 +192,18 @@ def test_append_follows_the_partitioning(spark, path):
         write_table(two, path, mode="append", partition_cols=["id"])
 
 
+def test_sorted_files_skip_row_groups(spark, path):
+    rows = spark.range(0, 5000, 1, 4).select(
+        (F.col("id") % 97).alias("v"), (F.col("id") % 3).cast("int").alias("k")
+    )
+    stored = write_table(rows, path, partition_cols=["k"], sort_cols=["v"])
+    assert stored.count() == 5000
+    for part in glob.glob(f"{path}/k=*/*.parquet"):
+        values = [row.v for row in spark.read.parquet(part).collect()]
+        assert values == sorted(values) and len(values) > 1000
+    assert "PushedFilters: [In(v" in plan_of(stored.filter(F.col("v").isin(3, 5)))
+
+
 def test_hot_partition_is_written_by_several_tasks(spark, path, conf):
     conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
     rows = spark.range(0, 60000, 1, 16).select(
