@@ -82,7 +82,10 @@ def temporary_view(name: str | None = None) -> Callable[[Step], Step]:
 def expect_or_drop(
     expectation_name: str, condition: str, observation: Observation | None = None
 ) -> Callable[[Step], Step]:
-    """Drop the rows for which ``condition`` is not TRUE."""
+    """Drop the rows for which ``condition`` is not TRUE.
+
+    An ``observation`` counts them for one call of the step; Spark lets it serve no second.
+    """
 
     def keep(df: DataFrame, _: str) -> DataFrame:
         log.info("expectation %s: rows that fail are dropped", expectation_name)
