@@ -30,4 +30,5 @@ def test_entry_points(spark):
     entry = importlib.import_module("__spark_entry__")
     rows = entry.entry(spark).collect()
     assert rows and set(rows[0].asDict()) == {"event_type", "n"}
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert REGISTRY.keys() <= entry.queries().keys()
+    assert ORACLE.keys() <= entry.oracle_sql().keys() <= entry.queries().keys()
