@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopwise.llm import line_dedup, mixing, quality, url_filter
+from stopwise.llm import fingerprints, language, line_dedup, mixing, quality, url_filter
 from stopwise.llm.url_filter import UrlRule
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,18 @@ def op9_mixing(spark, sf):
     return mixing.mix(mixing.sized_documents(docs)).select(
         "doc_id", "size", "source_size", "target", "taken"
     )
+
+
+@query
+def op1_fingerprints(spark, sf):
+    return fingerprints.with_next_edited(read(spark, sf, "documents").select("doc_id", "text"))
+
+
+@query
+def op8_language_id(spark, sf):
+    docs = read(spark, sf, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", language.held_out())
+    model = language.train(docs.where("not held_out"))
+    return language.identify(docs.drop("lang"), model).select(
+        "doc_id", "held_out", "lang_pred", "score", "rejected"
+    )
