@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopwise.llm import fingerprints, language, line_dedup, mixing, quality, url_filter
+from stopwise.llm import fingerprints, language, line_dedup, mixing, pieces, quality, url_filter
 from stopwise.llm.url_filter import UrlRule
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,14 @@ def op8_language_id(spark, sf):
     return language.identify(docs.drop("lang"), model).select(
         "doc_id", "held_out", "lang_pred", "score", "rejected"
     )
+
+
+# The public SentencePiece model the queries encode with; any other is a matter of its path.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query
+def op3_sentencepiece(spark, sf):
+    vocabulary = pieces.Vocabulary.load(PIECES)
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    return pieces.round_trips(pieces.encode(docs, vocabulary), vocabulary)
