@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopwise.llm import fingerprints, language, line_dedup, mixing, pieces, quality, url_filter
+from stopwise.llm import (
+    fingerprints,
+    language,
+    line_dedup,
+    mixing,
+    ngram_join,
+    pieces,
+    quality,
+    url_filter,
+)
 from stopwise.llm.url_filter import UrlRule
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +97,9 @@ def op3_sentencepiece(spark, sf):
     vocabulary = pieces.Vocabulary.load(PIECES)
     docs = read(spark, sf, "documents").select("doc_id", "text")
     return pieces.round_trips(pieces.encode(docs, vocabulary), vocabulary)
+
+
+@query
+def op10_ngram_join(spark, sf):
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    return ngram_join.joined(docs, ngram_join.Similarity(percent=90, words=3))
