@@ -15,6 +15,7 @@ from stopwise.llm import (
     ngram_join,
     pieces,
     quality,
+    substring_dedup,
     url_filter,
 )
 from stopwise.llm.url_filter import UrlRule
@@ -103,3 +104,14 @@ def op3_sentencepiece(spark, sf):
 def op10_ngram_join(spark, sf):
     docs = read(spark, sf, "documents").select("doc_id", "text")
     return ngram_join.joined(docs, ngram_join.Similarity(percent=90, words=3))
+
+
+@query
+def op6_substring_dedup(spark, sf):
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    return substring_dedup.substring_dedup(docs).select(
+        "doc_id",
+        "n_words",
+        "n_removed",
+        F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"),
+    )
