@@ -15,6 +15,7 @@ from stopwise.llm import (
     ngram_join,
     pieces,
     quality,
+    secret_scan,
     substring_dedup,
     url_filter,
 )
@@ -115,3 +116,17 @@ def op6_substring_dedup(spark, sf):
         "n_removed",
         F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"),
     )
+
+
+@query
+def op2_secret_scan(spark, sf):
+    docs = read(spark, sf, "documents").select("doc_id", "text", "source")
+    return secret_scan.scan(spark, docs).select(
+        "doc_id",
+        "word_no",
+        "run_no",
+        F.sha2(F.col("token").cast("binary"), 256).alias("token_sha256"),
+        F.col("length").cast("long").alias("n_chars"),
+        "score",
+        "is_secret",
+    )
