@@ -3,6 +3,7 @@
 from stopwise.config import Settings
 from stopwise.plans.decorators import (
     expect_all,
+    expect_all_or_fail,
     expect_or_drop,
     expect_or_fail,
     table,
@@ -16,6 +17,7 @@ from stopwise.sources.tables import read_table
 __all__ = [
     "Settings",
     "expect_all",
+    "expect_all_or_fail",
     "expect_or_drop",
     "expect_or_fail",
     "load_feed",

@@ -17,19 +17,32 @@ ROWS = "n_rows"
 TRIPS = "n_trips"
 
 
+# Marks the counts of a tally in the schema, where joins, selections and stored tables keep it.
+# A column that only has the name of one is a column like any other.
+TALLY = "stopwise.tally"
+
+
+def _counted(df: DataFrame, name: str) -> bool:
+    return any(f.name == name and f.metadata.get(TALLY) for f in df.schema.fields)
+
+
 def arrival_count(df: DataFrame) -> Column:
     """Number of arrivals, whether ``df`` has one row for each or is a tally."""
-    return F.sum(ROWS) if ROWS in df.columns else F.count(F.lit(1))
+    return F.sum(ROWS) if _counted(df, ROWS) else F.count(F.lit(1))
 
 
 def trip_count(df: DataFrame) -> Column:
     """Number of arrivals that have a trip id."""
-    return F.sum(TRIPS) if TRIPS in df.columns else F.count("trip_id")
+    return F.sum(TRIPS) if _counted(df, TRIPS) else F.count("trip_id")
 
 
 def tally(df: DataFrame, *keys: str) -> DataFrame:
     """Per key: ``n_rows`` arrivals, ``n_trips`` of them with a trip id."""
-    return df.groupBy(*keys).agg(arrival_count(df).alias(ROWS), trip_count(df).alias(TRIPS))
+    marked = {TALLY: True}
+    return df.groupBy(*keys).agg(
+        arrival_count(df).alias(ROWS, metadata=marked),
+        trip_count(df).alias(TRIPS, metadata=marked),
+    )
 
 
 def present(df: DataFrame, *columns: str) -> DataFrame:

@@ -11,7 +11,7 @@ import functools
 import operator
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 QUARANTINE_COLUMN = "is_quarantined"
@@ -69,6 +69,32 @@ def require(df: DataFrame, name: str, condition: str) -> DataFrame:
     return df
 
 
+def failures(rules: Mapping[str, str]) -> list[Column]:
+    """One count per rule, in order: the rows for which it is FALSE."""
+    return [
+        F.count_if(~F.expr(rule)).alias(f"failing_{position}")
+        for position, rule in enumerate(rules.values())
+    ]
+
+
+def raise_on_failures(rules: Mapping[str, str], counts: Mapping[str, int]) -> None:
+    """Raise if a count of ``failures`` is not 0; the text names every rule that failed."""
+    broken = [
+        FAILURE_TEXT.format(name=name, count=counts[f"failing_{position}"])
+        for position, name in enumerate(rules)
+        if counts[f"failing_{position}"]
+    ]
+    if broken:
+        raise ExpectationFailed("; ".join(broken))
+
+
+def require_all(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
+    """Return ``df``, or raise if any row has a rule FALSE. One pass however many rules."""
+    if rules:
+        raise_on_failures(rules, df.agg(*failures(rules)).first().asDict())
+    return df
+
+
 def expectation_report(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     """Rows passed, failed and unknown per rule, all rules in one pass."""
     if not rules:

@@ -20,6 +20,12 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return present(df.select(column), column).distinct().orderBy(column)
 
 
+def listed_values(spark: SparkSession, values: Sequence[str], column: str) -> DataFrame:
+    """Values that are known beforehand, in the order given."""
+    listed = F.array(*[F.lit(value) for value in values]).cast("array<string>")
+    return spark.range(1).select(F.explode(listed).alias(column))
+
+
 def hour_labels(spark: SparkSession) -> DataFrame:
     """The 24 hours of the day and their labels."""
     hour = F.col("id").cast("int")

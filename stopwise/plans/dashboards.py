@@ -60,6 +60,7 @@ class Dashboard:
     stops: DataFrame
     arrivals: DataFrame
     layout: Layout
+    tags: tuple[str, ...] | None = None
 
     @property
     def spark(self) -> SparkSession:
@@ -82,9 +83,14 @@ class Dashboard:
         return replace(self, arrivals=digest)
 
     def domain(self) -> DataFrame:
+        """What can be selected: the feeds' tags in their own order, or all routes, sorted."""
+        if self.tags is not None:
+            return selection.listed_values(self.spark, self.tags, self.layout.by)
         return selection.distinct_values(self.arrivals, self.layout.by)
 
     def status(self, selected: Sequence[str] | None = None) -> DataFrame:
+        if selected is None and self.tags is not None:
+            selected = self.tags
         if selected is None:
             return selection.full_selection_status(
                 self.arrivals, self.layout.by, self.layout.noun
@@ -120,7 +126,9 @@ class Dashboard:
         return self._named(
             counts,
             MAP_COLUMNS,
-            lambda df, ties: exact_sample(df, rows, layout.map_keys, seed, ties=ties),
+            lambda df, ties: exact_sample(
+                df, rows, layout.map_keys, seed, prefilter=True, ties=ties
+            ),
         )
 
     def top_stops(
@@ -171,5 +179,8 @@ def route_dashboard(stops: DataFrame, arrivals: DataFrame) -> Dashboard:
     return Dashboard(stops, arrivals, BY_ROUTE)
 
 
-def borough_dashboard(stops: DataFrame, arrivals: DataFrame) -> Dashboard:
-    return Dashboard(stops, arrivals, BY_BOROUGH)
+def borough_dashboard(
+    stops: DataFrame, arrivals: DataFrame, tags: Sequence[str] | None = None
+) -> Dashboard:
+    """``tags``, as ``load_feeds`` returns them, spare the domain and the default status a scan."""
+    return Dashboard(stops, arrivals, BY_BOROUGH, None if tags is None else tuple(tags))

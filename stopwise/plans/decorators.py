@@ -14,7 +14,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, Observation
 
 from stopwise.config import Settings
-from stopwise.operators.expectations import drop_failing, flag_failing, require
+from stopwise.operators.expectations import drop_failing, flag_failing, require, require_all
 from stopwise.sinks.tables import write_table
 from stopwise.sinks.views import register_view
 
@@ -44,12 +44,14 @@ def table(
     fmt: str | None = None,
     return_source: bool = False,
     settings: Settings | None = None,
+    checks: Mapping[str, str] | None = None,
 ) -> Callable[[Step], Step]:
     """Write the step's rows to a table, ``<table base>/<name>`` unless ``path`` is given.
 
     The step then returns the stored table: later actions read what was written instead of
     running the source again, and load times stay the ones that were stored.
-    ``return_source`` returns the step's own lazy frame instead.
+    ``return_source`` returns the step's own lazy frame instead. ``checks`` (name -> condition)
+    are counted while an overwrite is staged; if any fails, the old table stays.
     """
 
     def store(df: DataFrame, _: str) -> DataFrame:
@@ -62,6 +64,7 @@ def table(
             partition_cols=partition_cols or (),
             merge_schema=merge_schema,
             fmt=fmt or config.table_format,
+            checks=checks,
         )
         log.info("table %s: mode %s, merge_schema %s, at %s", name, mode, merge_schema, target)
         return df if return_source else stored
@@ -115,3 +118,15 @@ def expect_or_fail(expectation_name: str, condition: str) -> Callable[[Step], St
         return checked
 
     return _followed_by(check)
+
+
+def expect_all_or_fail(rules: Mapping[str, str]) -> Callable[[Step], Step]:
+    """Raise if any rule is FALSE for any row. All rules are counted in one pass, where as many
+    stacked ``expect_or_fail`` would take a pass each."""
+
+    def check(df: DataFrame, _: str) -> DataFrame:
+        checked = require_all(df, rules)
+        log.info("expectations %s: every row meets them", list(rules))
+        return checked
+
+    return _followed_by(check)

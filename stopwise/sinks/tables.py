@@ -7,21 +7,34 @@ NULLs where the new rows lack them) and adds the new ones; a changed type is an
 
 from __future__ import annotations
 
+import logging
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from stopwise import storage
-from stopwise.sources.tables import TableShape, quoted, read_table, save_shape, saved_shape
+from stopwise.operators.expectations import failures, raise_on_failures, require_all
+from stopwise.sources.tables import (
+    SchemaMismatch,
+    TableShape,
+    merged_type,
+    name_folding,
+    quoted,
+    read_table,
+    same_type,
+    save_shape,
+    saved_shape,
+)
+
+log = logging.getLogger(__name__)
 
 SAVE_MODES = ("overwrite", "append", "ignore", "error", "errorifexists")
+STREAM_LOG = "_spark_metadata"
 
-
-class SchemaMismatch(ValueError):
-    """The rows to be written do not fit the table."""
+__all__ = ["SAVE_MODES", "SchemaMismatch", "write_table"]
 
 
 def write_table(
@@ -36,6 +49,7 @@ def write_table(
     rebalance: bool = True,
     sort_cols: Sequence[str] = (),
     staged: bool = True,
+    checks: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Write ``df`` to ``path`` and return the stored table.
 
@@ -48,16 +62,28 @@ def write_table(
       complete: a failed job leaves the old rows in place, and the query may read the very
       table it replaces. The swap is two renames. Where a rename copies the data (object
       stores) use ``fmt="delta"``, or ``staged=False`` to write in place without that safety.
+      A swap that was interrupted is undone by the next write.
+    * ``checks`` (name -> condition) must not be FALSE for any row. Rows that are staged are
+      counted as they are written, and swapped in only if all is well; other writes are
+      preceded by one pass that counts all rules.
+
+    Appends may run side by side, those that add columns too. An overwrite must be the only
+    writer of its table. A folder that a stream appends to carries a log of its files and shows
+    no others, so a batch append to it, which would be invisible, raises.
     """
     spark = df.sparkSession
     if fmt == "delta":
+        if checks:
+            require_all(df, checks)
+        df = _arranged(df, tuple(partition_cols), rebalance, sort_cols)
         _write_delta(df, path, mode, partition_cols, merge_schema, replace_schema)
         return read_table(spark, path, fmt)
 
     mode = mode.lower()
     if mode not in SAVE_MODES:
         raise ValueError(f"unknown save mode {mode!r}")
-    present = storage.has_content(spark, path)
+    _undo_interrupted_swap(spark, path)
+    present = storage.has_content(spark, path) or saved_shape(spark, path) is not None
     if present and mode == "ignore":
         return read_table(spark, path, fmt)
     if present and mode.startswith("error"):
@@ -67,25 +93,26 @@ def write_table(
     if old is None or (replace_schema and mode == "overwrite"):
         shape = TableShape(df.schema, tuple(partition_cols))
     else:
-        shape = _evolve(old, df.schema, tuple(partition_cols), mode, merge_schema)
-        df = _align(df, shape.schema)
-
-    if shape.partition_cols and rebalance:
-        df = df.hint("rebalance", *[F.col(quoted(name)) for name in shape.partition_cols])
-    if sort_cols:
-        # Partition columns first: the order the writer asks for, so it does not sort again.
-        order = [*shape.partition_cols, *sort_cols]
-        df = df.sortWithinPartitions(*[F.col(quoted(name)) for name in order])
-
-    if not present:
+        fold = name_folding(spark)
+        shape = _evolve(old, df.schema, tuple(partition_cols), mode, merge_schema, fold)
+        df = _align(df, shape.schema, fold)
+
+    df = _arranged(df, shape.partition_cols, rebalance, sort_cols)
+    in_place = present and (mode == "append" or not staged)
+    if in_place and storage.exists(spark, f"{path.rstrip('/')}/{STREAM_LOG}"):
+        raise ValueError(f"{path} is written by a stream; what a batch adds would not be read")
+    if checks and (in_place or not staged):
+        require_all(df, checks)
+    if not present and not (checks and staged):
         _save(df, path, "overwrite", shape, fmt)
         save_shape(spark, path, shape)
-    elif mode == "append":
+    elif mode == "append" and present:
         # The wider schema goes first: until the new files land, old files read as NULL.
-        save_shape(spark, path, shape)
+        if old is None or shape != saved_shape(spark, path):
+            save_shape(spark, path, shape, added=saved_shape(spark, path) is not None)
         _save(df, path, "append", shape, fmt)
     elif staged:
-        _replace(spark, df, path, shape, fmt)
+        _replace(spark, df, path, shape, fmt, checks or {})
     else:
         _save(df, path, "overwrite", shape, fmt)
         save_shape(spark, path, shape)
@@ -93,30 +120,73 @@ def write_table(
     return read_table(spark, path, fmt, shape.schema)
 
 
+def _arranged(
+    df: DataFrame, partition_cols: tuple[str, ...], rebalance: bool, sort_cols: Sequence[str]
+) -> DataFrame:
+    if partition_cols and rebalance:
+        df = df.hint("rebalance", *[F.col(quoted(name)) for name in partition_cols])
+    if sort_cols:
+        # Partition columns first: the order the writer asks for, so it does not sort again.
+        order = [*partition_cols, *sort_cols]
+        df = df.sortWithinPartitions(*[F.col(quoted(name)) for name in order])
+    return df
+
+
 def _save(df: DataFrame, path: str, mode: str, shape: TableShape, fmt: str) -> None:
-    writer = df.write.format(fmt).mode(mode)
+    # An overwrite replaces the whole table, whatever the session says about partitions.
+    writer = df.write.format(fmt).mode(mode).option("partitionOverwriteMode", "static")
     if shape.partition_cols:
         writer = writer.partitionBy(*shape.partition_cols)
     writer.save(path)
 
 
-def _replace(spark: SparkSession, df: DataFrame, path: str, shape: TableShape, fmt: str) -> None:
+def _replace(
+    spark: SparkSession,
+    df: DataFrame,
+    path: str,
+    shape: TableShape,
+    fmt: str,
+    checks: Mapping[str, str],
+) -> None:
     tag = uuid.uuid4().hex
     staged = f"{path.rstrip('/')}__new_{tag}"
     retired = f"{path.rstrip('/')}__old_{tag}"
     try:
-        _save(df, staged, "errorifexists", shape, fmt)
+        if checks:
+            seen = Observation()
+            _save(df.observe(seen, *failures(checks)), staged, "errorifexists", shape, fmt)
+            raise_on_failures(checks, seen.get)
+        else:
+            _save(df, staged, "errorifexists", shape, fmt)
         save_shape(spark, staged, shape)
-    except Exception:
+    except BaseException:
         storage.delete(spark, staged)
         raise
-    storage.rename(spark, path, retired)
+    there = storage.exists(spark, path)
+    if there:
+        storage.rename(spark, path, retired)
     try:
         storage.rename(spark, staged, path)
-    except Exception:
-        storage.rename(spark, retired, path)
+    except BaseException:
+        if there and not storage.exists(spark, path):
+            storage.rename(spark, retired, path)
         raise
-    storage.delete(spark, retired)
+    if there:
+        storage.delete(spark, retired)
+
+
+def _undo_interrupted_swap(spark: SparkSession, path: str) -> None:
+    """Put back the rows that a swap had moved aside when its driver died."""
+    folder = path.rstrip("/")
+    if storage.exists(spark, folder):
+        return
+    parent, _, name = folder.rpartition("/")
+    aside = [n for n in storage.names_in(spark, parent or ".") if n.startswith(f"{name}__old_")]
+    if len(aside) > 1:
+        raise ValueError(f"{path} is not there, but {aside} are: more than one swap was interrupted")
+    if aside:
+        log.warning("table %s: restored from %s, left by an interrupted write", path, aside[0])
+        storage.rename(spark, f"{parent}/{aside[0]}" if parent else aside[0], folder)
 
 
 def _write_delta(df, path, mode, partition_cols, merge_schema, replace_schema) -> None:
@@ -135,14 +205,16 @@ def _shape_of(spark: SparkSession, path: str, fmt: str) -> TableShape:
     shape = saved_shape(spark, path)
     if shape is None:
         found = read_table(spark, path, fmt)
-        shape = TableShape(found.schema, _partition_cols(found))
+        shape = TableShape(found.schema, _partition_cols(found, path))
     return shape
 
 
-def _partition_cols(df: DataFrame) -> tuple[str, ...]:
-    """Columns that stand as ``name=value`` folders in the path of a file of ``df``."""
+def _partition_cols(df: DataFrame, path: str) -> tuple[str, ...]:
+    """Columns that stand as ``name=value`` folders between ``path`` and a file of ``df``."""
     some_file = df.select("_metadata.file_path").first()
-    folders = some_file.file_path.split("/") if some_file else []
+    if some_file is None:
+        return ()
+    folders = storage.folders_below(df.sparkSession, path, some_file.file_path)
     names = [folder.partition("=")[0] for folder in folders if "=" in folder]
     return tuple(name for name in names if name in df.columns)
 
@@ -153,13 +225,14 @@ def _evolve(
     partition_cols: tuple[str, ...],
     mode: str,
     merge_schema: bool,
+    fold: Callable[[str], str],
 ) -> TableShape:
     if mode == "append" and partition_cols and partition_cols != old.partition_cols:
         raise SchemaMismatch(
             f"table is partitioned by {list(old.partition_cols)}, not {list(partition_cols)}"
         )
-    merged = _merge(old.schema, incoming)
-    if not merge_schema and not _same(merged, old.schema):
+    merged = merged_type(old.schema, incoming, fold)
+    if not merge_schema and not same_type(merged, old.schema):
         raise SchemaMismatch(
             f"merge_schema is off and the new rows would change the table from "
             f"{old.schema.simpleString()} to {merged.simpleString()}"
@@ -167,59 +240,36 @@ def _evolve(
     return TableShape(merged, partition_cols or old.partition_cols)
 
 
-def _same(one: DataType, other: DataType) -> bool:
-    """Equal but for nullability."""
-    return one.simpleString() == other.simpleString()
-
-
-def _merge(old: DataType, new: DataType, name: str = "row") -> DataType:
-    """The old type with whatever fields the new one adds, at any depth."""
-    if isinstance(old, StructType) and isinstance(new, StructType):
-        fields = []
-        arriving = {field.name.lower(): field for field in new.fields}
-        for field in old.fields:
-            match = arriving.pop(field.name.lower(), None)
-            kind = _merge(field.dataType, match.dataType, f"{name}.{field.name}") if match else None
-            fields.append(StructField(field.name, kind or field.dataType))
-        return StructType([*fields, *[StructField(f.name, f.dataType) for f in arriving.values()]])
-    if isinstance(old, ArrayType) and isinstance(new, ArrayType):
-        return ArrayType(_merge(old.elementType, new.elementType, f"{name}[]"))
-    if isinstance(old, MapType) and isinstance(new, MapType) and _same(old.keyType, new.keyType):
-        return MapType(old.keyType, _merge(old.valueType, new.valueType, f"{name}[]"))
-    if not _same(old, new):
-        raise SchemaMismatch(
-            f"column {name.removeprefix('row.')} is {old.simpleString()} in the table but "
-            f"{new.simpleString()} in the new rows"
-        )
-    return old
-
-
-def _align(df: DataFrame, schema: StructType) -> DataFrame:
+def _align(df: DataFrame, schema: StructType, fold: Callable[[str], str]) -> DataFrame:
     """Give ``df`` the columns of ``schema``; what it lacks is NULL of the right type."""
-    have = {field.name.lower(): field for field in df.schema.fields}
+    have = {fold(field.name): field for field in df.schema.fields}
     columns = []
     for field in schema.fields:
-        match = have.get(field.name.lower())
+        match = have.get(fold(field.name))
         column = F.lit(None).cast(field.dataType)
         if match is not None:
-            column = _fit(F.col(quoted(match.name)), match.dataType, field.dataType)
+            column = _fit(F.col(quoted(match.name)), match.dataType, field.dataType, fold)
         columns.append(column.alias(field.name))
     return df.select(*columns)
 
 
-def _fit(value: Column, have: DataType, want: DataType) -> Column:
-    if _same(have, want):
+def _fit(value: Column, have: DataType, want: DataType, fold: Callable[[str], str]) -> Column:
+    if same_type(have, want):
         return value
     if isinstance(want, ArrayType):
-        return F.transform(value, lambda item: _fit(item, have.elementType, want.elementType))
+        return F.transform(
+            value, lambda item: _fit(item, have.elementType, want.elementType, fold)
+        )
     if isinstance(want, MapType):
-        return F.transform_values(value, lambda _, item: _fit(item, have.valueType, want.valueType))
-    inner = {field.name.lower(): field for field in have.fields}
+        return F.transform_values(
+            value, lambda _, item: _fit(item, have.valueType, want.valueType, fold)
+        )
+    inner = {fold(field.name): field for field in have.fields}
     parts = []
     for field in want.fields:
-        match = inner.get(field.name.lower())
+        match = inner.get(fold(field.name))
         part = F.lit(None).cast(field.dataType)
         if match is not None:
-            part = _fit(value.getField(match.name), match.dataType, field.dataType)
+            part = _fit(value.getField(match.name), match.dataType, field.dataType, fold)
         parts.append(part.alias(field.name))
     return F.when(value.isNotNull(), F.struct(*parts))

@@ -18,15 +18,24 @@ class HeaderError(ValueError):
     """The file does not carry the columns that were asked for."""
 
 
-def read_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names on the first line, of any one file if ``path`` is a folder."""
+def read_header(
+    spark: SparkSession, path: str, options: Mapping[str, str] | None = None
+) -> list[str]:
+    """Column names on the first line, of any one file if ``path`` is a folder, split and
+    unquoted as the reader's ``options`` say."""
     line = storage.first_line(spark, path)
     if line is None:
         raise HeaderError(f"{path} is empty or not there")
     line = line.lstrip("\ufeff")
     if line.startswith(POINTER_PREFIX):
         raise HeaderError(f"{path} is a large-file pointer, not the data itself")
-    return next(csv.reader([line]), [])
+    said = {name.lower(): value for name, value in (options or {}).items()}
+    separator = said.get("sep", said.get("delimiter", ","))
+    quote = said.get("quote", '"')
+    if len(separator) == 1:
+        dialect = {"quotechar": quote} if quote else {"quoting": csv.QUOTE_NONE}
+        return next(csv.reader([line], delimiter=separator, **dialect), [])
+    return [name.strip(quote) if quote else name for name in line.split(separator)]
 
 
 def read_delimited(
@@ -44,7 +53,7 @@ def read_delimited(
     leading zeros, and only an empty field is NULL. A number that cannot be read is NULL
     too; ``options={"mode": "FAILFAST"}`` makes it an error.
     """
-    header = read_header(spark, path)
+    header = read_header(spark, path, options)
     missing = [name for name in schema.names if name not in header]
     if missing:
         raise HeaderError(f"{path} lacks {missing}; its header is {header}")

@@ -34,6 +34,7 @@ class RouteFeed(NamedTuple):
 class TaggedFeeds(NamedTuple):
     stops: DataFrame
     arrivals: DataFrame
+    tags: tuple[str, ...] = ()
 
 
 def _uri(feed: Feed, table: str) -> str:
@@ -90,7 +91,8 @@ def load_feeds(
     Feeds that do not exist are left out; with none left this raises. Trips are matched
     after the union on tag and trip id, so equal ids of two networks never meet and the plan
     holds one join however many feeds there are. A filter on the tag still skips the stop
-    times of the other feeds.
+    times of the other feeds. ``tags`` are those of all feeds in the order given, the missing
+    ones too: what a selector offers, at no cost.
     """
     tables: dict[str, list[DataFrame]] = {"stops": [], "stop_times": [], "trips": []}
     schemas = {
@@ -112,4 +114,4 @@ def load_feeds(
         tag,
         hour_of(F.col("arrival_time"), wrap_hours, lenient_hours).alias("hour"),
     )
-    return TaggedFeeds(stops, arrivals)
+    return TaggedFeeds(stops, arrivals, tuple(feeds))

@@ -21,6 +21,7 @@ def _schema(*names: str) -> StructType:
     return StructType([StructField(name, _TYPES.get(name, StringType())) for name in names])
 
 
+# The columns each file has, by which it is read.
 # One network, coloured by route.
 STOPS = _schema("stop_id", "stop_name", "stop_lat", "stop_lon", "parent_station")
 STOP_TIMES = _schema("trip_id", "stop_id", "arrival_time")

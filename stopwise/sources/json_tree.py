@@ -3,23 +3,35 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+CORRUPT = "_corrupt_record"
 
 
 def read_json_tree(
     spark: SparkSession,
     path: str | list[str],
     schema: StructType | str | None = None,
-    sampling_ratio: float | None = None,
+    malformed: str = "fail",
 ) -> DataFrame:
     """Read every JSON file below ``path``; ``key=value`` folder names add no columns.
 
-    Without a ``schema`` Spark infers one, which is a job of its own over all the files.
-    For a large tree pass the schema, or a ``sampling_ratio`` if rare fields may be missed.
+    Without a ``schema`` Spark infers one, which is a job of its own over all the files, and
+    lines that are no JSON stand in ``_corrupt_record``. For a large tree pass the schema. Such
+    a line then ends the query, rather than become a row of NULLs that a later filter drops
+    unseen; ``malformed="keep"`` adds ``_corrupt_record`` instead, and ``"null"`` allows the NULLs.
     """
     reader = spark.read.option("recursiveFileLookup", "true")
-    if schema is not None:
-        reader = reader.schema(schema)
-    elif sampling_ratio is not None:
-        reader = reader.option("samplingRatio", sampling_ratio)
-    return reader.json(path)
+    if schema is None:
+        return reader.json(path)
+    if malformed not in ("fail", "keep", "null"):
+        raise ValueError(f"malformed is fail, keep or null, not {malformed!r}")
+    if malformed == "fail":
+        reader = reader.option("mode", "FAILFAST")
+    elif malformed == "keep":
+        if isinstance(schema, str):
+            schema = StructType.fromDDL(schema)
+        if CORRUPT not in schema.names:
+            schema = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+    return reader.schema(schema).json(path)

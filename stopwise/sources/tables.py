@@ -3,15 +3,24 @@
 from __future__ import annotations
 
 import json
+import time
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructType
 
 from stopwise import storage
 
-# Spark skips names that start with an underscore when it lists data files.
+# Spark skips names that start with an underscore when it lists data files. A table has one
+# such file from its first write, and one more from each append that added columns.
 SCHEMA_FILE = "_stopwise_schema.json"
+ADDED_SCHEMA = "_stopwise_schema."
+
+
+class SchemaMismatch(ValueError):
+    """The rows to be written do not fit the table."""
 
 
 @dataclass(frozen=True)
@@ -32,15 +41,65 @@ class TableShape:
         return cls(StructType.fromJson(saved["schema"]), tuple(saved["partition_cols"]))
 
 
-def save_shape(spark: SparkSession, path: str, shape: TableShape) -> None:
-    storage.write_text(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}", shape.to_json())
+def save_shape(spark: SparkSession, path: str, shape: TableShape, added: bool = False) -> None:
+    """Declare the shape of a table; ``added`` leaves what others declared as it is."""
+    name = f"{ADDED_SCHEMA}{time.time_ns():020d}.{uuid.uuid4().hex}.json" if added else SCHEMA_FILE
+    storage.write_text(spark, f"{path.rstrip('/')}/{name}", shape.to_json())
 
 
 def saved_shape(spark: SparkSession, path: str) -> TableShape | None:
-    location = f"{path.rstrip('/')}/{SCHEMA_FILE}"
-    if not storage.exists(spark, location):
+    """The declared shape of a table: that of its first write with the columns of all later
+    ones, whichever of two writers came last."""
+    folder = path.rstrip("/")
+    names = [n for n in storage.names_in(spark, folder) if n.startswith(ADDED_SCHEMA)]
+    if SCHEMA_FILE not in names:
         return None
-    return TableShape.from_json(storage.read_text(spark, location))
+    shapes = [
+        TableShape.from_json(storage.read_text(spark, f"{folder}/{name}"))
+        for name in sorted(names, key=lambda name: (name != SCHEMA_FILE, name))
+    ]
+    schema = shapes[0].schema
+    for shape in shapes[1:]:
+        schema = merged_type(schema, shape.schema, name_folding(spark))
+    return TableShape(schema, shapes[0].partition_cols)
+
+
+def name_folding(spark: SparkSession) -> Callable[[str], str]:
+    """What two names must share to be one column's, by the session's case sensitivity."""
+    sensitive = spark.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
+    return str if sensitive else str.lower
+
+
+def same_type(one: DataType, other: DataType) -> bool:
+    """Equal but for nullability."""
+    return one.simpleString() == other.simpleString()
+
+
+def merged_type(
+    old: DataType, new: DataType, fold: Callable[[str], str], name: str = "row"
+) -> DataType:
+    """The old type with whatever fields the new one adds, at any depth."""
+    if isinstance(old, StructType) and isinstance(new, StructType):
+        fields = []
+        arriving = {fold(field.name): field for field in new.fields}
+        for field in old.fields:
+            match = arriving.pop(fold(field.name), None)
+            kind = field.dataType
+            if match:
+                kind = merged_type(kind, match.dataType, fold, f"{name}.{field.name}")
+            fields.append(StructField(field.name, kind, metadata=field.metadata))
+        added = [StructField(f.name, f.dataType, metadata=f.metadata) for f in arriving.values()]
+        return StructType([*fields, *added])
+    if isinstance(old, ArrayType) and isinstance(new, ArrayType):
+        return ArrayType(merged_type(old.elementType, new.elementType, fold, f"{name}[]"))
+    if isinstance(old, MapType) and isinstance(new, MapType) and same_type(old.keyType, new.keyType):
+        return MapType(old.keyType, merged_type(old.valueType, new.valueType, fold, f"{name}[]"))
+    if not same_type(old, new):
+        raise SchemaMismatch(
+            f"column {name.removeprefix('row.')} is {old.simpleString()} in the table but "
+            f"{new.simpleString()} in the new rows"
+        )
+    return old
 
 
 def read_table(

@@ -18,9 +18,31 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def has_content(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` is a file, or a folder with anything in it."""
+    """Whether ``path`` is a file, or a folder with anything in it that readers see: what a
+    killed job left under ``_temporary`` is no content."""
     fs, target = _resolve(spark, path)
-    return fs.exists(target) and fs.listStatusIterator(target).hasNext()
+    if not fs.exists(target):
+        return False
+    if fs.getFileStatus(target).isFile():
+        return True
+    return any(not name.startswith(("_", ".")) for name in names_in(spark, path))
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder, sorted; none if it does not exist."""
+    fs, target = _resolve(spark, path)
+    if not fs.exists(target):
+        return []
+    return sorted(status.getPath().getName() for status in fs.listStatus(target))
+
+
+def folders_below(spark: SparkSession, root: str, file_uri: str) -> list[str]:
+    """The folders between ``root`` and a file somewhere below it."""
+    fs, target = _resolve(spark, root)
+    top = fs.makeQualified(target).toUri().getPath().rstrip("/") + "/"
+    jvm = spark._jvm
+    whole = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file_uri)).toUri().getPath()
+    return whole.removeprefix(top).split("/")[:-1] if whole.startswith(top) else []
 
 
 def delete(spark: SparkSession, path: str) -> None:

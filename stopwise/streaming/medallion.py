@@ -11,7 +11,6 @@ from pyspark.sql.types import StructType
 from stopwise.operators.expectations import require
 from stopwise.plans.decorators import expect_or_drop, temporary_view
 from stopwise.plans.medallion import BRONZE_TIME, SILVER_CONDITION, SILVER_TIME, SILVER_VIEW, stamp
-from stopwise.scratch import scratch_root
 
 
 def stream_json_tree(
@@ -80,5 +79,9 @@ def checked_batches(
 
 
 def default_checkpoint(spark: SparkSession, query: str) -> str:
-    """A fixed place per query under the cluster's shared folder."""
-    return f"{scratch_root(spark)}/streams/{query}"
+    """A fixed place per query under ``spark.checkpoint.dir``, which must be set: a stream's
+    progress has to outlive the driver, on a ``local`` master too."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        raise ValueError("spark.checkpoint.dir is not set; a stream needs a lasting folder")
+    return f"{root.rstrip('/')}/streams/{query}"

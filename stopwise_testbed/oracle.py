@@ -225,14 +225,14 @@ ORACLE: dict[str, str] = {
          where hour = 8 and route_color is not null group by 1, 2, 3) d
         left join stops s on d.stop_id = s.stop_id
         order by md5(concat_ws('-', cast(d.stop_id as varchar), route_id, route_color, '42')),
-          d.stop_id, route_id limit 12000""",
+          d.stop_id, route_id limit 100""",
     "city_map_borough": ARRIVALS
     + f"""select d.*, {_MAP_PLACE} from
         (select stop_id, borough, route_id, count(*) as stop_count from arr
          where hour = 8 and borough is not null group by 1, 2, 3) d
         join stops s on d.stop_id = s.stop_id
         order by md5(concat_ws('-', cast(d.stop_id as varchar), d.borough, route_id, '42')),
-          d.stop_id, route_id limit 12000""",
+          d.stop_id, route_id limit 100""",
     "top_stops": ARRIVALS
     + """select a.stop_id, arrivals, stop_name from
         (select stop_id, count(*) as arrivals from arr where hour = 8 group by stop_id) a
@@ -264,6 +264,18 @@ ORACLE: dict[str, str] = {
         from (select distinct event_type from events) x""",
 }
 
+ORACLE["expect_or_fail_many"] = "select * from lineitem"
+ORACLE["checked_write"] = "select * from orders"
+ORACLE["foreign_append"] = "select * from orders"
+ORACLE["borough_domain"] = "select r_name as borough from region"
+ORACLE["borough_status"] = """
+  select string_agg(r_name, ', ' order by r_regionkey) as value_text,
+    concat('Analyzing ', cast(count(*) as varchar), ' regions') as caption from region"""
+ORACLE["chosen_status"] = """
+  select string_agg(cast(c_nationkey as varchar), ', ' order by n desc, c_nationkey) as value_text,
+    concat('Analyzing ', cast(count(*) as varchar), ' subway routes') as caption
+  from (select c_nationkey, count(*) as n from customer group by 1
+        order by n desc, c_nationkey limit 3) x"""
 ORACLE["stored_digest"] = (
     ARRIVALS
     + """select hour, stop_id, route_id, direction_id, route_color, count(*) as n_rows,

@@ -17,6 +17,7 @@ from stopwise.operators.ranking import exact_sample
 from stopwise.plans.dashboards import borough_dashboard, route_dashboard
 from stopwise.plans.decorators import (
     expect_all,
+    expect_all_or_fail,
     expect_or_drop,
     expect_or_fail,
     table,
@@ -276,6 +277,26 @@ def expect_or_fail_pass(spark, sf):
     return lineitem()
 
 
+@query
+def expect_or_fail_many(spark, sf):
+    rules = {"quantity": "l_quantity > 0", "price": "l_extendedprice >= 0", "tax": "l_tax < 1"}
+
+    @expect_all_or_fail(rules)
+    def lineitem():
+        return read(spark, sf, "lineitem")
+
+    return lineitem()
+
+
+@query
+def checked_write(spark, sf):
+    @table("checked", path=scratch_dir(spark, "checked"), checks={"price": "o_totalprice > 0"})
+    def orders():
+        return read(spark, sf, "orders")
+
+    return orders()
+
+
 @query
 def expectation_report(spark, sf):
     rules = {"finished": "nullif(o_orderstatus, 'P') = 'F'", "price": "o_totalprice > 100000"}
@@ -518,12 +539,12 @@ def stop_density_borough(spark, sf):
 
 @query
 def city_map(spark, sf):
-    return _routes(spark, sf).city_map(HOUR)
+    return _routes(spark, sf).city_map(HOUR, rows=100)
 
 
 @query
 def city_map_borough(spark, sf):
-    return _boroughs(spark, sf).city_map(HOUR)
+    return _boroughs(spark, sf).city_map(HOUR, rows=100)
 
 
 @query
@@ -581,6 +602,44 @@ def selection_status(spark, sf):
     )
 
 
+def _tags(spark, sf):
+    """Regions in the order of their keys, as the tags of so many feeds."""
+    rows = read(spark, sf, "region").orderBy("r_regionkey").select("r_name").collect()
+    return tuple(row.r_name for row in rows)
+
+
+def _tagged(spark, sf):
+    dashboard = _boroughs(spark, sf)
+    return borough_dashboard(dashboard.stops, dashboard.arrivals, _tags(spark, sf))
+
+
+@query
+def borough_domain(spark, sf):
+    return _tagged(spark, sf).domain()
+
+
+@query
+def borough_status(spark, sf):
+    return _tagged(spark, sf).status()
+
+
+@query
+def chosen_status(spark, sf):
+    """A selection in its own order: the nations with the most customers, largest first."""
+    counts = read(spark, sf, "customer").groupBy("c_nationkey").count()
+    chosen = counts.orderBy(F.desc("count"), "c_nationkey").limit(3).collect()
+    return _routes(spark, sf).status([str(row.c_nationkey) for row in chosen])
+
+
+@query
+def foreign_append(spark, sf):
+    """Rows added to a plain folder that lies below a ``name=value`` folder of other origin."""
+    path = f"{scratch_dir(spark, 'foreign')}/o_shippriority=5/orders"
+    orders = read(spark, sf, "orders")
+    orders.where("o_orderkey % 2 = 0").write.parquet(path)
+    return write_table(orders.where("o_orderkey % 2 = 1"), path, mode="append")
+
+
 def _stored_dashboard(spark, sf):
     counted = roles.coloured_tally(spark, sf, "hour", "stop_id", "route_id", "direction_id")
     dashboard = route_dashboard(roles.stops(spark, sf), counted)
