@@ -18,6 +18,7 @@ GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 # The bytes that end a word.
 GAP_BYTES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 BATCH_BYTES = 4 << 20
+PIECE_BYTES = 256 << 10
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -70,21 +71,29 @@ def words_of_texts(texts: pa.Array, lower: bool = False) -> Words:
     starts = offsets[:-1][offsets[:-1] < len(body)]
     opens[starts] = inside[starts]
     begin = np.flatnonzero(opens)
-    place = np.flatnonzero(inside)
-    if len(begin) == 0:
-        none = np.zeros(0, np.int64)
-        return Words(body, none, none, np.zeros(0, np.uint64), np.zeros(n + 1, np.int64))
-    at = np.searchsorted(place, begin)
-    size = np.diff(np.append(at, len(place)))
-    off = np.arange(len(place)) - np.repeat(at, size)
-    chars = body[place]
+    closes = inside.copy()
+    closes[:-1] &= ~inside[1:] | opens[1:]
+    end = np.flatnonzero(closes) + 1
+    hashes = np.empty(len(begin), np.uint64)
+    # In stretches of words, as the numbers made here take many times the space of the text.
+    cuts = np.searchsorted(begin, np.arange(0, len(body) + PIECE_BYTES, PIECE_BYTES))
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            hashes[a:b] = _word_hashes(body, begin[a:b], end[a:b], lower)
+    return Words(body, begin, end, hashes, np.searchsorted(begin, offsets))
+
+
+def _word_hashes(body: np.ndarray, begin: np.ndarray, end: np.ndarray, lower: bool) -> np.ndarray:
+    size = end - begin
+    at = np.cumsum(size) - size
+    off = np.arange(at[-1] + size[-1]) - np.repeat(at, size)
+    chars = body[np.repeat(begin, size) + off]
     if lower:
         chars = _LOWER[chars]
     terms = _BYTE[chars] * _PLACE[off & 4095]
-    if off.max() > 4095:
+    if size.max() > 4096:
         terms *= (off >> 12).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-    hashes = mixed(np.add.reduceat(terms, at) + size.astype(np.uint64) * GOLDEN)
-    return Words(body, begin, begin + size, hashes, np.searchsorted(begin, offsets))
+    return mixed(np.add.reduceat(terms, at) + size.astype(np.uint64) * GOLDEN)
 
 
 def chained(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -98,8 +107,10 @@ def chained(hashes: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def small_batches(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
-    """The same rows in pieces of about BATCH_BYTES of text, or one row, so that the arrays made
+def small_batches(
+    batches: Iterator[pa.RecordBatch], text: int, limit: int = BATCH_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The same rows in pieces of about ``limit`` bytes of text, or one row, so that the arrays made
     from them stay small."""
     for batch in batches:
         sizes = pa.compute.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
@@ -107,6 +118,6 @@ def small_batches(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.R
         begin = 0
         while begin < batch.num_rows:
             before = total[begin - 1] if begin else 0
-            end = max(begin + 1, int(np.searchsorted(total, before + BATCH_BYTES, side="right")))
+            end = max(begin + 1, int(np.searchsorted(total, before + limit, side="right")))
             yield batch.slice(begin, end - begin)
             begin = end

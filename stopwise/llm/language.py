@@ -19,6 +19,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stopwise.llm.text import small_batches_for
+
 DICTIONARY_BYTES = 48 * 1024
 SAMPLE_DOCS = 400
 BLOCK_BYTES = 2048
@@ -151,6 +153,7 @@ def judged_language(text: Column, model: CompressionModel) -> Column:
 
 def identify(docs: DataFrame, model: CompressionModel) -> DataFrame:
     """``docs`` with ``lang_pred, score, rejected``; columns of those names are replaced."""
+    small_batches_for(docs.sparkSession)
     kept = [c for c in docs.columns if c not in ("lang_pred", "score", "rejected")]
     return docs.select(*kept, judged_language(F.col("text"), model).alias("_judged")).select(
         *kept, "_judged.lang_pred", "_judged.score", "_judged.rejected"

@@ -5,6 +5,7 @@ A word is a run of characters other than space and U+0009 to U+000D. A null text
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,6 +41,26 @@ def unique_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+ARROW_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+ARROW_BYTES = "8m"
+
+
+def small_batches_for(spark: SparkSession) -> None:
+    """Pass texts to Python workers in batches of a few megabytes, which several of them can
+    hold at a time; a smaller setting of the session stays as it is."""
+    now = str(spark.conf.get(ARROW_BATCH, "64m"))
+    if now.endswith("b") and now[:-1].isdigit() and int(now[:-1]) <= 8 << 20:
+        return
+    spark.conf.set(ARROW_BATCH, ARROW_BYTES)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Have the shuffle files of finished steps deleted now. Spark's cleaner does so once the
+    driver has collected its garbage, which on its own may be after the next large shuffle."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def written(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """``df`` as a Parquet table in the shared scratch folder: lineage ends there, and a lost
     executor costs no more than reading it again."""
