@@ -15,10 +15,13 @@ rank as rare.
 
 What is linked is found without all pairs of a group. Documents with one and the same set are one
 class. Per token of the first order, its members are compared with one of them, the pivot; that
-joins near copies, however many, by as many comparisons as members. Pairs that still lie in
-different components are then compared, less those that sizes, the other two orders, or the
-triangle inequality for Jaccard distances to the pivot rule out. Every pair that could link has
-then been compared or joined through others, so components are exact.
+joins near copies, however many, by as many comparisons as members. Two members that still lie in
+different components can link only if they differ from the pivot in the same way: of the tokens
+in which either differs from it, they must share a number that follows from their sizes. So the
+differences are joined by a prefix filter of their own, what the pivot lacks first, and copies
+that were each edited elsewhere never meet. Members that sizes or orders kept from the pivot are
+paired by their token, and all pairs found are compared. Every pair that could link has then been
+compared or joined through others, so components are exact.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ from pyspark.sql import functions as F
 
 from stopwise.llm.components import components
 from stopwise.llm.hashing import GOLDEN, chained, mixed, small_batches, words_of_texts
-from stopwise.llm.text import written
+from stopwise.llm.text import release_shuffles, small_batches_for, written
 
 RANKED_WORDS = 1 << 18
 
@@ -52,6 +55,14 @@ class Similarity:
     def prefix(self, n):
         return n - self.least_shared(n) + 1
 
+    def needed(self, a: Column, b: Column) -> Column:
+        """How many tokens sets of these sizes share if they link."""
+        return F.ceil(self.percent * (a + b) / F.lit(100.0 + self.percent) - 1e-9)
+
+    def may_differ(self, a: Column, b: Column) -> Column:
+        """In how many tokens sets of these sizes differ at most if they link."""
+        return F.floor((100 - self.percent) * (a + b) / F.lit(100.0 + self.percent) + 1e-9)
+
 
 # ---------------------------------------------------------------------- word counts
 
@@ -123,11 +134,12 @@ def _sets(batch_texts: pa.Array, similarity: Similarity, ranks=None):
 
 
 def _first(tokens: np.ndarray, level: np.ndarray, salt: int, n: int) -> np.ndarray:
-    """The ``n`` tokens that come first by level, then by a salted hash."""
+    """The ``n`` tokens that come first by level, then by a salted hash, in that order."""
     order = (np.minimum(level, 255).astype(np.uint64) << np.uint64(56)) | (
         mixed(tokens ^ np.uint64(salt)) >> np.uint64(8)
     )
-    return tokens[np.argpartition(order, n - 1)[:n]] if n < len(tokens) else tokens
+    first = np.argpartition(order, n - 1)[:n] if n < len(tokens) else np.arange(len(tokens))
+    return tokens[first[np.argsort(order[first])]]
 
 
 _SKETCH = (
@@ -192,21 +204,41 @@ def _whole_sets(docs: DataFrame, ids: DataFrame, similarity: Similarity) -> Data
     return chosen.mapInArrow(run, "id long, tokens binary")
 
 
-def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``x, y`` -> ``x, y, shared, either``: sizes of intersection and union, by whole sets."""
+def _compared(pairs: DataFrame, sets: DataFrame, similarity: Similarity) -> DataFrame:
+    """``x, y`` -> ``x, y, shared, either, n, apart, differs``.
+
+    ``shared`` and ``either`` are the sizes of intersection and union, ``n`` that of x, ``apart``
+    the number of tokens in one only. ``differs`` are the first of those, what y lacks before
+    what x lacks, as many as can hold the first one that x has in common with the differences of
+    another set it links to.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shared, either = [], []
+            counts, differs = [], []
             for a, b in zip(batch.column(2), batch.column(3)):
                 left = np.frombuffer(a.as_buffer(), np.uint64)
                 right = np.frombuffer(b.as_buffer(), np.uint64)
-                both = len(np.intersect1d(left, right, assume_unique=True))
-                shared.append(both)
-                either.append(len(left) + len(right) - both)
+                n = len(left)
+                own = left[~np.isin(left, right, assume_unique=True, kind="sort")]
+                both = n - len(own)
+                apart = n + len(right) - 2 * both
+                least = max(1, -(-(apart - n * (100 - similarity.percent) // similarity.percent) // 2))
+                wanted = apart - least + 1
+                if wanted > len(own):
+                    lacks = right[~np.isin(right, left, assume_unique=True, kind="sort")]
+                    own = np.concatenate([own, lacks])
+                counts.append((both, n + len(right) - both, n, apart))
+                differs.append(own[: max(0, wanted)].view(np.int64))
+            columns = list(zip(*counts)) or [()] * 4
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(shared, pa.int32()), pa.array(either, pa.int32())],
-                ["x", "y", "shared", "either"],
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    *[pa.array(c, pa.int32()) for c in columns],
+                    pa.array(differs, pa.list_(pa.int64())),
+                ],
+                ["x", "y", "shared", "either", "n", "apart", "differs"],
             )
 
     of_x = sets.select(F.col("id").alias("x"), F.col("tokens").alias("of_x"))
@@ -215,12 +247,18 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         pairs.join(of_x, "x")
         .join(of_y, "y")
         .select("x", "y", "of_x", "of_y")
-        .mapInArrow(run, "x long, y long, shared int, either int")
+        .mapInArrow(
+            run, "x long, y long, shared int, either int, n int, apart int, differs array<long>"
+        )
     )
 
 
-def _sizes_fit(a: Column, b: Column, similarity: Similarity) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * similarity.percent
+def _may_link(n_a: str, at_a: str, n_b: str, at_b: str, similarity: Similarity) -> Column:
+    """Whether sets of these sizes may link if the first token they share has these positions:
+    of each enough tokens must be left from there on."""
+    a, b = F.col(n_a), F.col(n_b)
+    needed = similarity.needed(a, b)
+    return (a - F.col(at_a) >= needed) & (b - F.col(at_b) >= needed)
 
 
 def _pass_other_orders(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -236,14 +274,17 @@ def _pass_other_orders(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
 
-def links(docs: DataFrame, similarity: Similarity = Similarity(), ranked: int = RANKED_WORDS):
-    """``(members, links)``.
+def linked(
+    docs: DataFrame, similarity: Similarity = Similarity(), ranked: int = RANKED_WORDS
+) -> tuple[DataFrame, DataFrame]:
+    """``(members, labels)``.
 
     ``members``: ``doc_id, n_shingles, class_id`` of every row; a class is the documents of one
-    set and carries its smallest doc_id. ``links``: ``u, v`` between classes, enough of the pairs
-    at or above the similarity that the components are those of all such pairs.
+    set and carries its smallest doc_id. ``labels``: ``node, component`` of every class that
+    links to another, directly or through others.
     """
     spark = docs.sparkSession
+    small_batches_for(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketched = written(
         spark, sketches(docs, similarity, word_ranks(docs, ranked)), "ngram-sketches"
@@ -261,92 +302,132 @@ def links(docs: DataFrame, similarity: Similarity = Similarity(), ranked: int =
     chosen = members.where("doc_id = class_id and n_shingles > 0").select("doc_id").distinct()
     classes = sketched.where(F.size("first") > 0).join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     classes = written(spark, classes, "ngram-classes")
-    postings = classes.select(F.col("doc_id").alias("x"), "n", F.explode("first").alias("token"))
+    release_shuffles(spark)
+    postings = classes.select(
+        F.col("doc_id").alias("x"), "n", F.posexplode("first").alias("at", "token")
+    )
     pivots = (
         postings.groupBy("token")
-        .agg(F.count("*").alias("df"), F.min(F.struct("x", "n")).alias("pivot"))
+        .agg(F.count("*").alias("df"), F.min(F.struct("x", "n", "at")).alias("pivot"))
         .where("df > 1")
-        .select(F.col("token").alias("t"), F.col("pivot.x").alias("y"), F.col("pivot.n").alias("n_y"))
+        .select(
+            F.col("token").alias("t"),
+            F.col("pivot.x").alias("y"),
+            F.col("pivot.n").alias("n_y"),
+            F.col("pivot.at").alias("at_y"),
+        )
     )
     shared = written(
         spark,
-        postings.join(pivots, F.col("token") == F.col("t")).select("token", "x", "n", "y", "n_y"),
+        postings.join(pivots, F.col("token") == F.col("t")).select(
+            "token", "x", "n", "at", "y", "n_y", "at_y"
+        ),
         "ngram-postings",
     )
     star = _pass_other_orders(
-        shared.where((F.col("x") != F.col("y")) & _sizes_fit(F.col("n"), F.col("n_y"), similarity))
+        shared.where((F.col("x") != F.col("y")) & _may_link("n", "at", "n_y", "at_y", similarity))
         .select("x", "y")
         .distinct(),
         classes,
     )
     star = written(spark, star, "ngram-star")
     ids = star.select(F.explode(F.array("x", "y")).alias("id")).distinct()
-    compared = written(spark, _compared(star, _whole_sets(docs, ids, similarity)), "ngram-compared")
+    compared = written(spark, _compared(star, _whole_sets(docs, ids, similarity), similarity), "ngram-compared")
+    release_shuffles(spark)
     enough = F.col("shared") * 100 >= F.col("either") * similarity.percent
     found = compared.where(enough).select(F.col("x").alias("u"), F.col("y").alias("v"))
     label = written(spark, components(found), "ngram-labels")
     rest = written(spark, _unsettled(shared, compared, label, similarity), "ngram-unsettled")
     rest = written(spark, _pass_other_orders(rest, classes), "ngram-rest")
+    release_shuffles(spark)
     if not rest.isEmpty():
         ids = rest.select(F.explode(F.array("x", "y")).alias("id")).distinct()
-        more = _compared(rest, _whole_sets(docs, ids, similarity)).where(enough)
-        found = found.unionByName(more.select(F.col("x").alias("u"), F.col("y").alias("v")))
-        found = written(spark, found, "ngram-links")
-    return members, found
+        more = _compared(rest, _whole_sets(docs, ids, similarity), similarity).where(enough)
+        stars = label.select(F.col("node").alias("u"), F.col("component").alias("v"))
+        found = stars.unionByName(more.select(F.col("x").alias("u"), F.col("y").alias("v")))
+        label = written(spark, components(found), "ngram-labels")
+    return members, label
 
 
 def _unsettled(shared: DataFrame, compared: DataFrame, label: DataFrame, similarity: Similarity) -> DataFrame:
-    """Pairs that share a token, lie in different components so far, and were not compared.
-
-    Per token, members are listed by component, and a member meets those of other components
-    only. A member and another whose known distances to the pivot differ by more than the
-    distance at which sets link cannot link.
-    """
-    distance = compared.select(
-        F.col("x").alias("dx"), F.col("y").alias("dy"), (1 - F.col("shared") / F.col("either")).alias("far")
+    """Pairs that may link and lie in different components so far, pivots' own pairs excepted."""
+    spark = shared.sparkSession
+    own = F.coalesce("component", "x").alias("component")
+    by_difference = _alike_in_difference(
+        compared.join(label, F.col("x") == F.col("node"), "left").select(
+            "x", "y", "n", "apart", "differs", own
+        ),
+        label,
+        similarity,
     )
-    placed = (
-        shared.join(label, F.col("x") == F.col("node"), "left")
-        .withColumn("component", F.coalesce("component", "x"))
-        .drop("node")
+    # Members of a token whose pivot they were not compared with meet all other members.
+    known = compared.select(F.col("x").alias("kx"), F.col("y").alias("ky"))
+    unknown = (
+        shared.where("x <> y")
+        .join(known, (F.col("x") == F.col("kx")) & (F.col("y") == F.col("ky")), "left_anti")
+        .join(label, F.col("x") == F.col("node"), "left")
+        .select("token", "x", "n", "at", own)
     )
-    per_token = placed.groupBy("token").agg(
-        F.min("component").alias("least"), F.max("component").alias("greatest")
-    ).where("least <> greatest").select(F.col("token").alias("t"))
-    mixed_tokens = (
-        placed.join(per_token, F.col("token") == F.col("t"), "left_semi")
-        .join(distance, (F.col("x") == F.col("dx")) & (F.col("y") == F.col("dy")), "left")
+    unknown = written(spark, unknown, "ngram-unknown")
+    tokens = unknown.groupBy("token").agg(F.count("*").alias("n_unknown")).select(F.col("token").alias("t"))
+    members = (
+        shared.where("x <> y")
+        .join(tokens, F.col("token") == F.col("t"), "left_semi")
+        .join(label, F.col("x") == F.col("node"), "left")
         .select(
-            "token", "x", "n", "y", "component",
-            F.when(F.col("x") == F.col("y"), 0.0).otherwise(F.col("far")).alias("far"),
+            F.col("token").alias("o_token"),
+            F.col("x").alias("o"),
+            F.col("n").alias("o_n"),
+            F.col("at").alias("o_at"),
+            F.coalesce("component", "x").alias("o_component"),
         )
     )
-    mixed_tokens = written(shared.sparkSession, mixed_tokens, "ngram-mixed")
-    groups = mixed_tokens.select(F.col("token").alias("g_token"), F.col("component").alias("g_component")).distinct()
-    other = mixed_tokens.select(
-        F.col("token").alias("o_token"),
-        F.col("x").alias("o"),
-        F.col("n").alias("o_n"),
-        F.col("component").alias("o_component"),
-        F.col("far").alias("o_far"),
+    by_token = unknown.join(
+        members,
+        (F.col("token") == F.col("o_token"))
+        & (F.col("x") != F.col("o"))
+        & (F.col("component") != F.col("o_component"))
+        & _may_link("n", "at", "o_n", "o_at", similarity),
+    ).select(F.least("x", "o").alias("x"), F.greatest("x", "o").alias("y"))
+    return by_difference.unionByName(by_token).distinct()
+
+
+def _alike_in_difference(placed: DataFrame, label: DataFrame, similarity: Similarity) -> DataFrame:
+    """Pairs of different components that were compared with one pivot and may link.
+
+    Sets x and o that differ from a pivot in ``a`` and ``b`` tokens differ from each other in
+    ``a + b`` less twice the differences they share. One of them is not linked to the pivot, so
+    to link to each other they have to share at least one; how many follows from their sizes.
+    """
+    spark = placed.sparkSession
+    components_of = placed.join(
+        label.select(F.col("node").alias("of_y"), F.col("component").alias("of_pivot")),
+        F.col("y") == F.col("of_y"),
+        "left",
+    ).groupBy("y").agg(
+        F.min("component").alias("least"),
+        F.max("component").alias("greatest"),
+        F.min(F.coalesce("of_pivot", "y")).alias("of_pivot"),
     )
-    apart = F.abs(F.col("far") - F.col("o_far")) > (100 - similarity.percent) / 100 + 1e-9
-    return (
-        mixed_tokens.join(
-            groups, (F.col("token") == F.col("g_token")) & (F.col("component") < F.col("g_component"))
-        )
-        .join(
-            other,
-            (F.col("g_token") == F.col("o_token"))
-            & (F.col("g_component") == F.col("o_component"))
-            & _sizes_fit(F.col("n"), F.col("o_n"), similarity)
-            & ~F.coalesce(apart, F.lit(False)),
-        )
-        .where((F.col("x") != F.col("y")) & (F.col("o") != F.col("y")))
-        .select(F.least("x", "o").alias("x"), F.greatest("x", "o").alias("y"))
-        .distinct()
+    split = components_of.where("least <> greatest or least <> of_pivot").select(F.col("y").alias("p"))
+    postings = (
+        placed.join(split, F.col("y") == F.col("p"), "left_semi")
+        .select("y", "x", "n", "apart", "component", F.posexplode("differs").alias("at", "token"))
     )
-
+    postings = written(spark, postings, "ngram-differences")
+    other = postings.select(*[F.col(c).alias(f"o_{c}") for c in postings.columns])
+    needed = F.ceil(
+        (F.col("apart") + F.col("o_apart") - similarity.may_differ(F.col("n"), F.col("o_n"))) / 2
+    )
+    return postings.join(
+        other,
+        (F.col("y") == F.col("o_y"))
+        & (F.col("token") == F.col("o_token"))
+        & (F.col("x") < F.col("o_x"))
+        & (F.col("component") != F.col("o_component"))
+        & (F.col("apart") - F.col("at") >= needed)
+        & (F.col("o_apart") - F.col("o_at") >= needed),
+    ).select("x", F.col("o_x").alias("y"))
 
 
 def joined(docs: DataFrame, similarity: Similarity = Similarity(), ranked: int = RANKED_WORDS) -> DataFrame:
@@ -356,8 +437,7 @@ def joined(docs: DataFrame, similarity: Similarity = Similarity(), ranked: int =
     empty set, link with nothing and are components of their own. Rows that repeat a doc_id are
     each a row of the result; they count as one document where their sets differ.
     """
-    members, found = links(docs, similarity, ranked)
-    label = components(found)
+    members, label = linked(docs, similarity, ranked)
     return members.join(label, F.col("class_id") == F.col("node"), "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "class_id").alias("component_id")
     )
