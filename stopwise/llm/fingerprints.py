@@ -6,8 +6,9 @@ step ``j`` it writes the character it stands on and then moves on or stays, as a
 small edit distance becomes a small Hamming distance. A character is thus written a number of
 times that depends on ``j`` and the character alone, and ``STAY`` is that number.
 
-A fingerprint samples the written string at ``SAMPLES`` places, the same for all texts as far as
-their lengths allow: place ``b`` is the step with the smallest of a sequence of random numbers,
+How long two walks stay apart varies much, so ``WALKS`` of them, with different bits, share the
+samples of a fingerprint. Each samples its written string at places that are the same for all texts as
+far as their lengths allow: place ``b`` is the step with the smallest of a sequence of random numbers,
 among the steps the walk has made. For walks of lengths m < n a sample falls on the same step with
 probability m/n. Each sample is reduced to four bits, one hexadecimal digit.
 """
@@ -23,7 +24,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stopwise.llm.components import components
+from stopwise.llm.text import small_batches_for, written
+
 SAMPLES = 256
+WALKS = 4
 PERIOD = 1 << 12
 CLASSES = 1 << 8
 ROWS_A_PART = 1_000
@@ -46,9 +51,9 @@ def _uniform(n: int, stream: int) -> np.ndarray:
 
 
 @cache
-def _stay() -> np.ndarray:
+def _stay(walk: int) -> np.ndarray:
     """``STAY[character class * PERIOD + step % PERIOD]``: how often the character is written."""
-    moves = _uniform(CLASSES * PERIOD, 1).reshape(CLASSES, PERIOD) < 0.5
+    moves = _uniform(CLASSES * PERIOD, 1 + walk).reshape(CLASSES, PERIOD) < 0.5
     moves[:, -1] = True
     steps = np.arange(PERIOD)
     next_move = np.where(moves, steps, PERIOD)
@@ -57,8 +62,8 @@ def _stay() -> np.ndarray:
 
 
 @cache
-def _stay_rows() -> list[bytes]:
-    return [row.tobytes() for row in _stay().reshape(CLASSES, PERIOD)]
+def _stay_rows(walk: int) -> list[bytes]:
+    return [row.tobytes() for row in _stay(walk).reshape(CLASSES, PERIOD)]
 
 
 @cache
@@ -82,7 +87,9 @@ def _classes(text: str) -> np.ndarray:
     return ((points ^ (points >> np.uint32(8))) & np.uint32(CLASSES - 1)).astype(np.uint8)
 
 
-def _walks(texts: list[np.ndarray], begin: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+def _walks(
+    texts: list[np.ndarray], begin: np.ndarray, walk: int
+) -> tuple[list[np.ndarray], np.ndarray]:
     """For each text the step at which each of its characters is first written, and the end.
 
     ``begin`` is the step at which each walk starts. All walks take a character at a time
@@ -95,7 +102,7 @@ def _walks(texts: list[np.ndarray], begin: np.ndarray) -> tuple[list[np.ndarray]
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
     steps = np.zeros(len(flat), np.int64)
     now = begin[order].astype(np.int64)
-    stay, mask = _stay(), PERIOD - 1
+    stay, mask = _stay(walk), PERIOD - 1
     shared = int(sizes[FEW - 1]) if len(sizes) >= FEW else 0
     # Walks under way at each character: those whose text is longer.
     under_way = np.searchsorted(-sizes, -np.arange(shared), side="left")
@@ -104,7 +111,7 @@ def _walks(texts: list[np.ndarray], begin: np.ndarray) -> tuple[list[np.ndarray]
         at = starts[:a] + i
         steps[at] = now[:a]
         now[:a] += stay[flat[at].astype(np.int64) * PERIOD + (now[:a] & mask)]
-    rows = _stay_rows()
+    rows = _stay_rows(walk)
     for k in range(int(np.searchsorted(-sizes, -shared, side="left"))):
         j, out = int(now[k]), []
         for c in flat[starts[k] + shared : starts[k] + sizes[k]].tobytes():
@@ -120,17 +127,20 @@ def _walks(texts: list[np.ndarray], begin: np.ndarray) -> tuple[list[np.ndarray]
     return each, end
 
 
-def _digits(texts, steps, ends) -> np.ndarray:
-    """One row of ``SAMPLES`` four-bit symbols per text."""
-    sampled = np.empty((SAMPLES, len(texts)), np.int64)
-    for b, places in enumerate(_places()):
-        sampled[b] = places[np.maximum(np.searchsorted(places, ends, side="left") - 1, 0)]
-    out = np.zeros((len(texts), SAMPLES), np.uint8)
-    salt = np.arange(SAMPLES, dtype=np.uint64) << np.uint64(16)
+def _digits(texts, steps, ends, walk: int) -> np.ndarray:
+    """One row of four-bit symbols per text: the samples of one walk."""
+    own = np.arange(walk, SAMPLES, WALKS)
+    sampled = np.empty((len(own), len(texts)), np.int64)
+    for row, b in zip(sampled, own):
+        places = _places()[b]
+        row[:] = places[np.maximum(np.searchsorted(places, ends, side="left") - 1, 0)]
+    out = np.zeros((len(texts), len(own)), np.uint8)
+    salt = own.astype(np.uint64) << np.uint64(16)
     for k, (text, step) in enumerate(zip(texts, steps)):
         if len(text):
             written = text[np.searchsorted(step, sampled[:, k], side="right") - 1]
-            out[k] = _mixed((written.astype(np.uint64) + np.uint64(1) + salt) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(60)
+            symbol = (written.astype(np.uint64) + np.uint64(1) + salt) * np.uint64(0x9E3779B97F4A7C15)
+            out[k] = _mixed(symbol) >> np.uint64(60)
     return out
 
 
@@ -148,8 +158,10 @@ def _likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def fingerprint_texts(texts: list[str]) -> np.ndarray:
     classes = [_classes(t) for t in texts]
-    steps, ends = _walks(classes, np.zeros(len(texts), np.int64))
-    return _digits(classes, steps, ends)
+    start = np.zeros(len(texts), np.int64)
+    return np.concatenate(
+        [_digits(classes, *_walks(classes, start, walk), walk) for walk in range(WALKS)], axis=1
+    )
 
 
 def likeness(left: Column, right: Column) -> Column:
@@ -178,6 +190,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """``doc_id, fingerprint`` of every whole text. Null counts as empty; empty texts, which
     write nothing, all have the fingerprint of zeros. No shuffle."""
 
+    small_batches_for(docs.sparkSession)
+
     def run(batches):
         for rows in _batched(batches, "text"):
             digits = fingerprint_texts([text or "" for _, text in rows])
@@ -191,6 +205,62 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     )
 
 
+BANDS = 32
+MIN_LIKENESS = 0.6
+
+
+def near_classes(
+    docs: DataFrame, bands: int = BANDS, min_likeness: float = MIN_LIKENESS
+) -> DataFrame:
+    """``doc_id, class_id`` of every row: documents whose fingerprints are alike share a class,
+    named by its smallest doc_id.
+
+    Each band is a set of sampled digits; texts that agree in a whole band are candidates, and
+    are verified by all samples. Texts alike to 0.6 agree in one of 32 bands of 8 digits with a
+    chance of 53 %, to 0.8 of 99.9 %. Equal texts are one candidate from the start. The members of a
+    band's bucket are first compared with its smallest, then those still in different classes
+    with one another. Null ids belong to no class but that of null.
+    """
+    spark = docs.sparkSession
+    own = written(spark, fingerprints(docs), "fingerprints")
+    first = own.groupBy("fingerprint").agg(F.min("doc_id").alias("x")).where("x is not null")
+    first = written(spark, first, "fingerprint-classes")
+    width = SAMPLES // bands
+    keys = F.array(*[F.substring("fingerprint", 1 + b * width, width) for b in range(bands)])
+    members = first.select("x", "fingerprint", F.posexplode(keys).alias("band", "key"))
+    pivots = (
+        members.groupBy("band", "key")
+        .agg(F.min(F.struct("x", "fingerprint")).alias("pivot"), F.count("*").alias("n"))
+        .where("n > 1")
+        .select("band", "key", F.col("pivot.x").alias("y"), F.col("pivot.fingerprint").alias("of_y"))
+    )
+    shared = written(spark, members.join(pivots, ["band", "key"]).where("x <> y"), "fingerprint-buckets")
+    alike = likeness(F.col("fingerprint"), F.col("of_y")) >= min_likeness
+    found = shared.select("x", "fingerprint", "y", "of_y").distinct().where(alike)
+    label = written(spark, components(found.select(F.col("x").alias("u"), F.col("y").alias("v"))), "fingerprint-labels")
+    placed = shared.join(label, F.col("x") == F.col("node"), "left").select(
+        "band", "key", "x", "fingerprint", F.coalesce("component", "x").alias("component")
+    )
+    other = placed.select("band", "key", F.col("x").alias("o"), F.col("fingerprint").alias("of_o"), F.col("component").alias("o_component"))
+    rest = (
+        placed.join(other, ["band", "key"])
+        .where((F.col("x") < F.col("o")) & (F.col("component") != F.col("o_component")))
+        .select("x", "fingerprint", "o", "of_o")
+        .distinct()
+        .where(likeness(F.col("fingerprint"), F.col("of_o")) >= min_likeness)
+    )
+    links = label.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(
+        rest.select(F.col("x").alias("u"), F.col("o").alias("v"))
+    )
+    named = components(links)
+    classes = first.join(named, F.col("x") == F.col("node"), "left").select(
+        F.col("fingerprint").alias("same"), F.coalesce("component", "x").alias("class_id")
+    )
+    return own.join(classes, F.col("fingerprint") == F.col("same"), "left").select(
+        "doc_id", F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id")
+    )
+
+
 def _splits(docs: DataFrame, rows_a_part: int) -> list[int]:
     """Ids that begin a part, from the smallest: some of the corpus' own, evenly spread."""
     ids = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"))
@@ -216,6 +286,7 @@ def with_next_edited(docs: DataFrame, rows_a_part: int = ROWS_A_PART) -> DataFra
     the successor of its last document. The walk over the first half of a text is shared by its
     edited form, which goes on from the step that half ends at.
     """
+    small_batches_for(docs.sparkSession)
     starts = np.array(_splits(docs, rows_a_part), np.int64)
     last = max(len(starts) - 1, 0)
 
@@ -285,18 +356,18 @@ def _compared(pairs) -> pa.RecordBatch:
     halves = [len(t) // 2 for t in texts]
     heads = [nxt[:half] for (_, _, nxt), half in zip(pairs, halves)]
     edited = [t[: len(t) - half] + head for t, half, head in zip(texts, halves, heads)]
-    classes = [_classes(t) for t in texts]
-    steps, ends = _walks(classes, np.zeros(len(texts), np.int64))
+    classes, tails = [_classes(t) for t in texts], [_classes(h) for h in heads]
     kept = [len(t) - half for t, half in zip(texts, halves)]
-    turn = np.array(
-        [s[k] if k < len(s) else e for s, k, e in zip(steps, kept, ends)], np.int64
-    )
-    tails = [_classes(h) for h in heads]
-    tail_steps, tail_ends = _walks(tails, turn)
     both = [np.concatenate([c[:k], t]) for c, k, t in zip(classes, kept, tails)]
-    both_steps = [np.concatenate([s[:k], t]) for s, k, t in zip(steps, kept, tail_steps)]
-    own = _digits(classes, steps, ends)
-    changed = _digits(both, both_steps, tail_ends)
+    own, changed = [], []
+    for walk in range(WALKS):
+        steps, ends = _walks(classes, np.zeros(len(texts), np.int64), walk)
+        own.append(_digits(classes, steps, ends, walk))
+        turn = [s[k] if k < len(s) else e for s, k, e in zip(steps, kept, ends)]
+        on, tail_ends = _walks(tails, np.array(turn, np.int64), walk)
+        on = [np.concatenate([s[:k], t]) for s, k, t in zip(steps, kept, on)]
+        changed.append(_digits(both, on, tail_ends, walk))
+    own, changed = np.concatenate(own, axis=1), np.concatenate(changed, axis=1)
     nxt = np.empty_like(own)
     nxt[:-1] = own[1:]
     follows = [k + 1 < len(pairs) and pairs[k][2] is pairs[k + 1][1] for k in range(len(pairs))]

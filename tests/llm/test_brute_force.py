@@ -270,6 +270,18 @@ def test_likeness_falls_with_edits(spark):
     assert near(text[::-1]) < 0.25
 
 
+def test_bands_find_near_copies(spark, documents):
+    texts = sorted(texts_of(spark).values(), key=len)[-12:]
+    rows = [(10 * k, t[:3000]) for k, t in enumerate(texts)]
+    rows += [(10 * k + 1, t[:3000]) for k, t in enumerate(texts)]
+    rows += [(10 * k + 2, t[:2900] + "another end") for k, t in enumerate(texts)]
+    out = fingerprints.near_classes(documents([*rows, (None, texts[0][:3000])])).collect()
+    assert {r["doc_id"]: r["class_id"] for r in out} == {
+        **{d: d - d % 10 for d, _ in rows},
+        None: None,
+    }
+
+
 # ---------------------------------------------------------------- language, mixing, URLs, lines
 
 
