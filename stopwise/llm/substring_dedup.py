@@ -4,7 +4,7 @@ A window is a run of ``WINDOW`` words of one document. Its words go if the same
 in a document with a smaller doc_id. Windows are judged on the input, not on what is left.
 
 1. Documents are cut into segments such that equal windows fall into segments of one shard: each
-   window is named by the least hash of the four-word grams it holds, and neighbours of one name
+   window is named by the least hash of the three-word grams it holds, and neighbours of one name
    form a segment. A segment that a batch of documents has several times is sent once, for the
    smallest doc_id that has it, and the others are marked removed there and then; so a passage
    that a third of all documents share reaches its shard once per batch.
@@ -31,9 +31,11 @@ from pyspark.sql import functions as F
 
 from stopwise.llm.fm_index import FMIndex
 from stopwise.llm.hashing import GOLDEN, chained, mixed, small_batches, words_of_texts
+from stopwise.llm.text import release_shuffles, small_batches_for, written
 
 WINDOW = 13
-GRAM = 4
+GRAM = 3
+CUT_BYTES = 8 << 20
 DOCS_A_SHARD = 800
 QUERIES_AT_ONCE = 200_000
 
@@ -95,7 +97,7 @@ def _flat(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
 _COLUMNS = (("name", np.uint64), ("doc", np.int64), ("key", np.int64), ("start", np.int64), ("size", np.int64), ("bytes", np.int64))
 
 
-def _pack(columns: dict[str, np.ndarray], body: bytes, level: int = 1) -> bytes:
+def _pack(columns: dict[str, np.ndarray], body: bytes, level: int = 3) -> bytes:
     head = np.array([len(columns["name"])], np.int64).tobytes()
     return zstandard.compress(head + b"".join(columns[c].astype(k).tobytes() for c, k in _COLUMNS) + body, level)
 
@@ -110,7 +112,7 @@ def _unpack(blob: bytes) -> tuple[dict[str, np.ndarray], bytes]:
 def _cut(batches: Iterator[pa.RecordBatch], window: int, n_shards: int) -> Iterator[pa.RecordBatch]:
     """``doc_id, key, text`` -> ``shard, blob``; a blob holds segments with their texts, or,
     where a size in bytes is -1, stretches to remove."""
-    for batch in small_batches(batches, 2):
+    for batch in small_batches(batches, 2, CUT_BYTES):
         words = words_of_texts(batch.column(2))
         doc, key = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         seg = Segments(words, window)
@@ -239,6 +241,7 @@ def _least_between(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.
 def removed_stretches(docs: DataFrame, window: int = WINDOW, docs_a_shard: int = DOCS_A_SHARD) -> DataFrame:
     """``doc_id, key, start, size``: word ranges to remove, which may overlap. ``key`` is a hash
     of the text and tells rows of one doc_id apart."""
+    small_batches_for(docs.sparkSession)
     n_shards = max(1, -(-docs.count() // docs_a_shard))
     rows = docs.where("doc_id is not null and text is not null").select(
         F.col("doc_id").cast("long"), F.xxhash64("text").alias("key"), "text"
@@ -279,6 +282,9 @@ def substring_dedup(docs: DataFrame, text: str = "text", window: int = WINDOW, d
         .groupBy("doc_id", "key")
         .agg(F.collect_list(F.struct("start", "size")).alias("gone"))
     )
+    # Segments are many times the stretches found in them: done with before texts move.
+    stretches = written(docs.sparkSession, stretches, "substring-stretches")
+    release_shuffles(docs.sparkSession)
     joined = base.join(
         stretches, (F.col("id") == F.col("doc_id")) & (F.col("same") == F.col("key")), "left"
     ).select(

@@ -6,6 +6,7 @@ A word is a run of characters other than space and U+0009 to U+000D. A null text
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,9 +57,12 @@ def small_batches_for(spark: SparkSession) -> None:
 
 def release_shuffles(spark: SparkSession) -> None:
     """Have the shuffle files of finished steps deleted now. Spark's cleaner does so once the
-    driver has collected its garbage, which on its own may be after the next large shuffle."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    driver has collected its garbage, which on its own may be after the next large shuffle. It
+    works beside the driver, so it is given a moment, and a second go for what the first freed."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(1.0)
 
 
 def written(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
