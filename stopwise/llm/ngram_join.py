@@ -55,6 +55,11 @@ class Similarity:
     def prefix(self, n):
         return n - self.least_shared(n) + 1
 
+    def alone(self, n):
+        """Whether a set of ``n`` links to its equals only: the next larger size is out of reach,
+        and so are smaller ones and other sets of its own."""
+        return 100 * n // self.percent == n
+
     def needed(self, a: Column, b: Column) -> Column:
         """How many tokens sets of these sizes share if they link."""
         return F.ceil(self.percent * (a + b) / F.lit(100.0 + self.percent) - 1e-9)
@@ -152,7 +157,7 @@ def sketches(docs: DataFrame, similarity: Similarity, ranks) -> DataFrame:
 
     The key digests the whole set. Tokens of the second and third order are cut to 32 bits; what
     that confuses can only let a candidate through. Sets too small to link to any but their
-    equals have no prefixes.
+    equals have no prefixes; one that a larger set can hold keeps its prefix of one token.
     """
     import hashlib
 
@@ -168,7 +173,7 @@ def sketches(docs: DataFrame, similarity: Similarity, ranks) -> DataFrame:
                     n = len(tokens)
                     key = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
                     p = similarity.prefix(n)
-                    if p < 2 or similarity.least_shared(n) == n:
+                    if similarity.alone(n):
                         row = (n, key, none64, none32, none32)
                     else:
                         row = (

@@ -203,6 +203,20 @@ def test_components_against_all_pairs(spark, documents, percent, size):
     assert {tuple(r) for r in out.collect()} == brute_components(rows, percent, size)
 
 
+@pytest.mark.parametrize("percent, size", [(90, 3), (80, 5), (60, 2), (50, 1)])
+def test_short_texts_link_to_those_with_one_more_word(spark, documents, percent, size):
+    random.seed(size)
+    rows = []
+    for length in range(1, 24):
+        text = [f"s{length}_{k}" for k in range(length)]
+        longer = [[*text, "more"], ["first", *text], [*text, "more", "still"]]
+        for body in random.sample([text, *longer], 4):
+            rows.append((len(rows) * 37 % 1009, " ".join(body)))
+    want = brute_components(rows, percent, size)
+    out = ngram_join.joined(documents(rows), ngram_join.Similarity(percent, size))
+    assert {tuple(r) for r in out.collect()} == want
+
+
 def test_chain_of_near_copies_is_one_component(spark, documents):
     base = [f"t{i}" for i in range(200)]
     rows = []
