@@ -73,13 +73,15 @@ def train(
 ) -> CompressionModel:
     """A model of ``lang, text`` rows; rows where either is null teach nothing.
 
-    The sample is bounded: per language about ``sample_docs`` documents, drawn by a hash of
-    their text, of which up to ``dictionary_bytes`` are kept, the same share of each document's
+    The sample is bounded: per language about ``sample_docs`` distinct texts, drawn by a hash
+    of the text, of which up to ``dictionary_bytes`` are kept, the same share of each document's
     beginning. What the driver gathers is thus at most ``2 * dictionary_bytes`` or so per
-    language, whatever the size of the corpus. The labels are counted first.
+    language, whatever the size of the corpus. The distinct texts of each label are counted first,
+    so copies, which are drawn together or not at all, do not lower the share.
     """
     rows = labelled.where("lang is not null and text is not null").select("lang", "text")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    texts = rows.groupBy("lang").agg(F.count_distinct(F.xxhash64("text")).alias("n"))
+    counts = {r["lang"]: r["n"] for r in texts.collect()}
     if not counts:
         return CompressionModel({}, **options)
     a_document = max(64, 2 * dictionary_bytes // sample_docs)

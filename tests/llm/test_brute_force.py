@@ -320,6 +320,19 @@ def test_language_ignores_labels_of_held_out_documents(spark, documents):
     assert got[1]["lang_pred"] == got[2]["lang_pred"] == "und" and got[3]["lang_pred"] != "und"
 
 
+def test_language_of_mostly_copies_is_learned(spark, documents):
+    few = documents([(k, f"kopia numero{'abcdefghij'[k]} teksto", "xx") for k in range(10)])
+    many = documents([(k, f"sama{k % 26:c<3} vorto{'x' * (k % 50)}y{'z' * (k // 50)}", "yy") for k in range(300)])
+    copies = documents([(0, "unu kopio", "yy")]).crossJoin(spark.range(20_000)).drop("id")
+    rows = few.crossJoin(spark.range(3000)).drop("id").unionByName(many).unionByName(copies)
+    model = language.train(rows)
+    assert sorted(model.contents) == ["xx", "yy"]
+    for doc in [*few.collect(), *many.collect(), *copies.limit(1).collect()]:
+        assert language._spoken(doc["text"]) in model.contents[doc["lang"]]
+    judged = language.identify(few, model).collect()
+    assert {r["lang_pred"] for r in judged} == {"xx"}
+
+
 def test_mix_reaches_its_targets(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     plan = mixing.mix(mixing.sized_documents(docs), rows_a_range=20)
