@@ -121,17 +121,21 @@ def mix(
     once more if the greater part of it lies before the cut. ``taken`` is ``repeats * size``,
     so a source's taken words are within half a document of its target. Rows that share a
     ``doc_id`` share a key and follow in order of size; rows equal in both are taken in an
-    order that does not show in the result. Documents without words are never taken. A null
+    order that does not show in the result. A column ``digest`` of ``sized`` is passed on; it tells
+    apart rows of one id and size, and rows without an id get their key from it. Documents
+    without words are never taken. A null
     source is a source of its own; an empty table gives an empty result.
     """
     if max_repeats < 1:
         raise ValueError("max_repeats must be 1 or more")
     spark = sized.sparkSession
+    digest = [c for c in sized.columns if c == "digest"]
+    drawn_by = F.col("doc_id")
+    if digest:
+        drawn_by = F.coalesce(drawn_by.cast("string"), F.concat(F.lit("null:"), F.col("digest").cast("string")))
     keyed = written(
         spark,
-        sized.select(
-            "doc_id", "source", "size", mixing_key(F.col("doc_id"), seed).alias("_key")
-        ),
+        sized.select("doc_id", "source", "size", *digest, mixing_key(drawn_by, seed).alias("_key")),
         "mixing-sizes",
     )
     by_source = keyed.groupBy("source").agg(
@@ -148,7 +152,7 @@ def mix(
     placed = keyed.join(plan, F.col("source").eqNullSafe(F.col("_source")), "left").withColumn(
         "_range", F.floor(F.col("_key") / width).cast("long")
     )
-    within = Window.partitionBy("source", "_range").orderBy("_key", "doc_id", "size")
+    within = Window.partitionBy("source", "_range").orderBy("_key", "doc_id", "size", *digest)
     running = placed.join(
         _offsets(placed),
         F.col("source").eqNullSafe(F.col("_in")) & (F.col("_range") == F.col("_at")),
@@ -181,6 +185,7 @@ def mix(
             "epochs",
             "repeats",
             (F.col("repeats") * F.col("size")).alias("taken"),
+            *digest,
         )
     )
 
@@ -193,19 +198,27 @@ def sized_documents(docs: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it.
 
-    The join goes by ``doc_id`` and source; rows that repeat an id in one source are taken as
-    often as the first of them (by size) is.
+    The join goes by ``doc_id``, source and a hash of the text, so rows without an id, or that
+    share one, are each taken as planned; those equal in all three are taken as often as the
+    first of them is.
     """
+    digest = F.xxhash64("text")
     plan = (
-        mix(sized_documents(docs), **options)
+        mix(
+            docs.select("doc_id", "source", count_words(F.col("text")).alias("size"), digest.alias("digest")),
+            **options,
+        )
         .where("repeats > 0")
-        .groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_src"))
+        .groupBy(
+            F.col("doc_id").alias("_id"), F.col("source").alias("_src"), F.col("digest").alias("_digest")
+        )
         .agg(F.max("repeats").cast("int").alias("_repeats"))
     )
     return (
         docs.join(
             plan,
-            F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_src")),
+            F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_src"))
+            & (digest == F.col("_digest")),
         )
         .withColumn("_epoch", F.explode(F.sequence(F.lit(1), F.col("_repeats"))))
         .select(*docs.columns)

@@ -361,6 +361,16 @@ def test_mixed_rows_are_repeated(spark, documents):
     assert sorted(rows) == sorted(d for d, n in plan.items() for _ in range(n))
 
 
+def test_rows_without_ids_of_their_own_are_cut(spark, documents):
+    rows = [(None if k % 3 else 7, f"w{k} " * (1 + k % 4), "en", f"s{k % 2}") for k in range(240)]
+    docs = documents(rows)
+    taken = mixing.mixed_documents(docs).groupBy("source").agg(F.sum(F.size(F.split(F.trim("text"), " "))).alias("n"))
+    sizes = mixing.sized_documents(docs).groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
+    targets = {r["source"]: r["target"] for r in mixing.targets(sizes).collect()}
+    for row in taken.collect():
+        assert abs(row["n"] - targets[row["source"]]) <= 3
+
+
 def test_cascade_is_exact_over_its_universe(spark):
     listed = spark.range(0, 3000, 7).selectExpr("cast(id as string) as key")
     universe = spark.range(20_000).selectExpr("cast(id as string) as key")
