@@ -148,3 +148,53 @@ select doc_id, coalesce(n_lines, 0)::bigint as n_lines, coalesce(n_removed, 0)::
   sha256(coalesce(kept_text, '')) as kept_sha256
 from documents left join kept using (doc_id)
 """
+
+ORACLE["op13_filter_audit"] = (
+    r"""
+with texts as (
+  select doc_id, coalesce(source, '') as part, coalesce(text, '') as text, """
+    + WORDS.format(text="text")
+    + r""" as words from documents),
+failed as (
+  select part, doc_id,
+    [len(words) < 200,
+     100 * len(list_distinct(words)) < 50 * len(words),
+     100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text),
+     regexp_matches(text, '[#$%&*|]'),
+     coalesce(doc_id > min(doc_id) over (partition by text), false)] as fails
+  from texts),
+marked as (
+  select part, fails,
+    coalesce(doc_id in (select doc_id from labels where quality = 1), false) as good,
+    coalesce(doc_id in (select doc_id from labels where toxic = 1), false) as toxic
+  from failed),
+alike as (
+  select part, fails, count(*) as n, count(*) filter (good) as good, count(*) filter (toxic) as toxic
+  from marked group by part, fails),
+places as (select unnest([1, 2, 3, 4, 5]) as p),
+orders as (
+  select [a.p, b.p, c.p, d.p, e.p] as o
+  from places a, places b, places c, places d, places e
+  where len(list_distinct([a.p, b.p, c.p, d.p, e.p])) = 5),
+steps as (
+  select list_aggregate(list_transform(o, lambda k: substr('ABCDE', k, 1)), 'string_agg', '')
+      as filter_order, p as step, o[p] as own, o[1 : p - 1] as before
+  from orders, places),
+counted as (
+  select part, filter_order, step, own,
+    sum(case when not out_before and not fails[own] then n else 0 end)::bigint as kept,
+    sum(case when not out_before and fails[own] then n else 0 end)::bigint as removed,
+    sum(case when out_before and fails[own] then n else 0 end)::bigint as redundant,
+    sum(case when fails[own] and len(list_filter(fails, lambda f: f)) = 1 then n else 0 end)::bigint
+      as unique_fails,
+    sum(case when not out_before and fails[own] then good else 0 end)::bigint as good_lost,
+    sum(case when not out_before and fails[own] then toxic else 0 end)::bigint as toxic_lost
+  from (
+    select *, len(list_filter(before, lambda k: fails[k])) > 0 as out_before
+    from alike, steps)
+  group by part, filter_order, step, own)
+select part, filter_order, step::int as step, kept, removed, redundant, unique_fails, good_lost,
+  toxic_lost, (sum(removed) over (partition by part, own))::bigint as shapley
+from counted
+"""
+)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stopwise.llm import (
+    filter_audit,
     fingerprints,
     language,
     line_dedup,
@@ -130,3 +131,9 @@ def op2_secret_scan(spark, sf):
         "score",
         "is_secret",
     )
+
+
+@query
+def op13_filter_audit(spark, sf):
+    docs = read(spark, sf, "documents").select("doc_id", "source", "text")
+    return filter_audit.audited(docs, read(spark, sf, "labels"))
