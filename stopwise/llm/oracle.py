@@ -198,3 +198,60 @@ select part, filter_order, step::int as step, kept, removed, redundant, unique_f
 from counted
 """
 )
+
+# CRC-32, bit by bit: DuckDB has no function for it. Prefixes are compared by all their text.
+ORACLE["op12_prefix_trie"] = (
+    r"""
+with said as (
+  select conv_id as c, turn, coalesce(role, '') as role, coalesce(text, '') as body,
+    cast(len("""
+    + WORDS.format(text="text")
+    + r""") as bigint) as words
+  from conversations where conv_id is not null),
+placed as (
+  select c, length(role) || ':' || role || body as turn_text, words,
+    row_number() over (partition by c order by turn nulls first, role, body) as p from said),
+heads as (
+  select c, count(*) as size, c - c % 20 as base,
+    xor(list_reduce(
+      list_prepend(4294967295::bigint, list_transform(string_split(c::varchar, ''), lambda x: ascii(x)::bigint)),
+      lambda crc, byte: list_reduce(
+        list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]),
+        lambda x, _: xor(x >> 1, case when x & 1 = 1 then 3988292384 else 0 end)::bigint)),
+      4294967295::bigint) % 4 as h
+  from placed group by c),
+rebuilt as (
+  select h.c, p.p, p.turn_text, p.words, 0 as part
+  from heads h join placed p on p.c = h.base and p.p <= h.h
+  union all
+  select h.c, p.p, p.turn_text, p.words, 1 from heads h join placed p on p.c = h.c and p.p > h.h),
+sequence as (
+  select c, words, turn_text, row_number() over (partition by c order by part, p) as d from rebuilt),
+prefixes as (
+  select c, d, words,
+    md5(string_agg(length(turn_text) || ':' || turn_text, '') over (partition by c order by d)) as k
+  from sequence
+  union all select c, 0, 0, '' from heads),
+keyed as (
+  select *, lag(k) over (partition by c order by d) as up, max(d) over (partition by c) as size
+  from prefixes),
+nodes as (
+  select k, d, any_value(up) as up, min(c) as conv_id, count(*) as n, any_value(words) as words,
+    string_agg(c::varchar, ',' order by c) filter (d = size) as ending
+  from keyed group by k, d),
+children as (select up, count(*) as n from nodes where up is not null group by up),
+below as (
+  select distinct a.k as top, a.d as top_d, b.k, b.d
+  from keyed a join keyed b on a.c = b.c and b.d >= a.d),
+subtrees as (
+  select top, top_d, count(*) filter (x.n is null) as n_leaves,
+    sum((n.n - 1) * n.words)::bigint as saved_tokens
+  from below b join nodes n on b.k = n.k and b.d = n.d left join children x on x.up = n.k
+  group by top, top_d)
+select n.conv_id, n.d as depth, p.conv_id as parent_conv_id, n.n as n_convs,
+  coalesce(x.n, 0) as n_children, s.n_leaves, s.saved_tokens,
+  sha256(coalesce(n.ending, '')) as ends_sha256
+from nodes n join subtrees s on s.top = n.k and s.top_d = n.d
+left join nodes p on p.k = n.up left join children x on x.up = n.k
+"""
+)

@@ -15,6 +15,7 @@ from stopwise.llm import (
     mixing,
     ngram_join,
     pieces,
+    prefix_trie,
     quality,
     secret_scan,
     substring_dedup,
@@ -137,3 +138,9 @@ def op2_secret_scan(spark, sf):
 def op13_filter_audit(spark, sf):
     docs = read(spark, sf, "documents").select("doc_id", "source", "text")
     return filter_audit.audited(docs, read(spark, sf, "labels"))
+
+
+@query
+def op12_prefix_trie(spark, sf):
+    conversations = read(spark, sf, "conversations")
+    return prefix_trie.trie(*prefix_trie.branched(*prefix_trie.sequences(conversations)))

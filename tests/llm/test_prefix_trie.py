@@ -1,0 +1,156 @@
+"""The prefix trie against plain Python."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pandas as pd
+import pytest
+from conftest import SMALL
+from pyspark.sql import functions as F
+
+from stopwise.llm import prefix_trie
+
+GAP = re.compile("[\x20\x09-\x0d]+")
+CONVERSATIONS = "conv_id long, turn long, role string, text string"
+
+
+def plain_trie(rows, lend=True):
+    """rows of (conv_id, turn, role, text) -> (conv_id, depth) -> the other columns."""
+    own = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            own[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    # Turns of one number are in the order of their digests.
+    for conv, turns in own.items():
+        turns.sort(key=lambda t: (t[0], t[1], hashlib.sha256(f"{len(t[2])}:{t[2]}{t[3]}".encode()).digest()[:16]))
+        own[conv] = [(role, text) for _, _, role, text in turns]
+    whole = {}
+    for conv, turns in own.items():
+        h = zlib.crc32(str(conv).encode()) % 4 if lend else 0
+        whole[conv] = (own.get(conv - int(math.fmod(conv, 20)), [])[:h] if h else []) + turns[h:]
+    members, children = defaultdict(list), defaultdict(list)
+    for conv, turns in whole.items():
+        for depth in range(len(turns) + 1):
+            members[tuple(turns[:depth])].append(conv)
+    for prefix in members:
+        if prefix:
+            children[prefix[:-1]].append(prefix)
+    leaves, saved, out = {}, {}, {}
+    for prefix in sorted(members, key=len, reverse=True):
+        below = children[prefix]
+        leaves[prefix] = sum(leaves[c] for c in below) if below else 1
+        words = len([w for w in GAP.split(prefix[-1][1]) if w]) if prefix else 0
+        saved[prefix] = (len(members[prefix]) - 1) * words + sum(saved[c] for c in below)
+        ends = sorted(c for c in members[prefix] if len(whole[c]) == len(prefix))
+        out[min(members[prefix]), len(prefix)] = (
+            min(members[prefix[:-1]]) if prefix else None, len(members[prefix]), len(below),
+            leaves[prefix], saved[prefix],
+            hashlib.sha256(",".join(map(str, ends)).encode()).hexdigest(),
+        )
+    return out
+
+
+def spark_trie(df, limit=prefix_trie.LIMIT, lend=True):
+    turns, sizes = prefix_trie.sequences(df)
+    if lend:
+        turns, sizes = prefix_trie.branched(turns, sizes)
+    else:
+        turns = turns.join(sizes, "conv")
+    rows = prefix_trie.trie(turns, sizes, limit).collect()
+    found = {(r["conv_id"], r["depth"]): tuple(r)[2:] for r in rows}
+    assert len(found) == len(rows)
+    return found
+
+
+@pytest.mark.parametrize("limit", [prefix_trie.LIMIT, 3])
+def test_small_table_agrees(spark, limit):
+    df = spark.read.parquet(f"{SMALL}/conversations.parquet")
+    assert spark_trie(df, limit) == plain_trie([tuple(r) for r in df.select("conv_id", "turn", "role", "text").collect()])
+
+
+def hard_rows():
+    random.seed(5)
+    rows = []
+    for conv in range(-40, 160):
+        for turn in range(random.choice([0, 1, 1, 2, 3, 6])):
+            rows.append((conv, random.choice([None, turn, turn, turn]), random.choice(["user", None, ""]),
+                         random.choice(["a", "b c", "", None, "d\te f"])))
+    rows += [(200, k, "user", "the same") for k in range(900)]
+    rows += [(201, k, "user", "the same") for k in range(700)] + [(201, 700, "user", "but not this")]
+    rows += [(202, 1, "user", "tie")] * 40 + [(203, 1, "user", f"tie {k % 7}") for k in range(40)]
+    rows += [(c, 0, "user", "hot") for c in range(300, 500)]
+    rows += [(None, 0, "user", "of no conversation"), (None, None, None, None)]
+    return rows
+
+
+@pytest.mark.parametrize("limit, lend", [(prefix_trie.LIMIT, True), (300, True), (300, False)])
+def test_odd_conversations_agree(spark, limit, lend):
+    rows = hard_rows()
+    df = spark.createDataFrame(rows, CONVERSATIONS).withColumns(
+        {c: F.lit(1) for c in ("conv", "at", "size", "n", "shard", "key_a")}
+    )
+    assert spark_trie(df.repartition(5), limit, lend) == plain_trie(rows, lend)
+
+
+def test_ids_of_a_node_in_pieces(spark):
+    rows = [(c, 0, "user", "hot") for c in range(500)]
+    turns, sizes = prefix_trie.sequences(spark.createDataFrame(rows, CONVERSATIONS))
+    prefixes = prefix_trie._prefixes(turns.join(sizes, "conv"))
+    (row,) = prefix_trie._ends(prefixes, sizes, ids=7).collect()
+    assert row["ends_sha256"] == hashlib.sha256(",".join(map(str, range(500))).encode()).hexdigest()
+
+
+def test_empty_table(spark):
+    assert spark_trie(spark.createDataFrame([], CONVERSATIONS)) == {}
+    only_null = spark.createDataFrame([(None, 1, "user", "x")], CONVERSATIONS)
+    assert spark_trie(only_null) == {}
+
+
+def test_one_turn_of_null(spark):
+    df = spark.createDataFrame([(20, None, None, None)], CONVERSATIONS)
+    assert spark_trie(df) == plain_trie([(20, None, None, None)])
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 1000, 30_000])
+def test_slots_are_minimal_and_verified(n):
+    draw = np.random.default_rng(n)
+    a, b = (draw.integers(-(2**63), 2**63 - 1, n, np.int64) for _ in range(2))
+    table = prefix_trie.NodeTable(a, b)
+    assert sorted(table.find(a, b).tolist()) == list(range(n))
+    others = draw.integers(-(2**63), 2**63 - 1, 500, np.int64)
+    assert (table.find(others, others) == -1).all()
+    if n:
+        # A key with one lane of another's is not taken for it.
+        assert (table.find(a, b + 1) == -1).all()
+
+
+def test_a_key_that_occurs_twice_is_refused():
+    with pytest.raises(ValueError):
+        prefix_trie.NodeTable(np.array([1, 1], np.int64), np.array([2, 2], np.int64))
+
+
+def test_nodes_outside_add_to_those_inside():
+    columns = ["at", "key_a", "key_b", "parent_a", "parent_b", "conv", "n", "words", "children", "leaves", "saved"]
+    rows = [(0, 0, 0, 0, 0, 1, 4, 0, 2, 5, 100), (1, 7, 8, 0, 0, 1, 3, 10, 0, 0, 0), (5, 9, 9, 3, 3, 4, 2, 6, 0, 0, 0)]
+    done = prefix_trie.accumulated(pd.DataFrame(rows, columns=columns).assign(shard=0)).set_index("key_a")
+    assert done.loc[0, ["children", "leaves", "saved"]].tolist() == [3, 6, 120]
+    assert done.loc[7, ["children", "leaves", "saved"]].tolist() == [0, 1, 20]
+    assert done.loc[7, "parent_conv"] == 1 and done.loc[9, "parent_conv"] is pd.NA
+
+
+def test_prefixes_with_one_digest_are_refused(spark):
+    sizes = spark.createDataFrame([(1, 1), (2, 1)], "conv long, size long")
+    rows = [(1, 1, 1, bytearray(b"x"), 3, 5, 5, 0, 0), (2, 1, 1, bytearray(b"y"), 3, 5, 5, 0, 0)]
+    clash = spark.createDataFrame(
+        rows,
+        "conv long, at long, size long, said binary, words long, key_a long, key_b long, parent_a long, parent_b long",
+    )
+    with pytest.raises(ValueError, match="digest"):
+        prefix_trie._nodes(clash, sizes)
