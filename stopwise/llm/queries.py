@@ -17,6 +17,7 @@ from stopwise.llm import (
     pieces,
     prefix_trie,
     quality,
+    rule_ensemble,
     secret_scan,
     substring_dedup,
     url_filter,
@@ -144,3 +145,17 @@ def op13_filter_audit(spark, sf):
 def op12_prefix_trie(spark, sf):
     conversations = read(spark, sf, "conversations")
     return prefix_trie.trie(*prefix_trie.branched(*prefix_trie.sequences(conversations)))
+
+
+@query
+def op11_rule_ensemble(spark, sf):
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    docs = docs.withColumn("held_out", language.held_out())
+    marks = read(spark, sf, "labels").select(
+        F.col("doc_id").alias("of"), F.col("quality").alias("label")
+    )
+    teaching = docs.where("not held_out").join(marks, F.col("doc_id") == F.col("of"))
+    model = rule_ensemble.train(teaching.select("doc_id", "text", "label"))
+    return rule_ensemble.scored(docs, model).select(
+        "doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )

@@ -15,6 +15,7 @@ from stopwise.llm import (
     ngram_join,
     pieces,
     quality,
+    rule_ensemble,
     secret_scan,
     substring_dedup,
     url_filter,
@@ -31,8 +32,8 @@ def test_query_agrees_with_sql(spark, monkeypatch, name):
     assert compare.check(spark, compare.connect(SMALL), name, SMALL) is None
 
 
-def test_ten_operators_are_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in REGISTRY) == list(range(1, 11))
+def test_all_operators_are_registered():
+    assert sorted(int(name[2:].split("_")[0]) for name in REGISTRY) == list(range(1, 14))
 
 
 # Operator -> (what it returns for a table of documents, whether it keeps the table's columns).
@@ -45,6 +46,7 @@ OPERATORS = {
     "substrings": (lambda s, d: substring_dedup.substring_dedup(d, docs_a_shard=4), True),
     "quality": (lambda s, d: quality.judged(s, d), True),
     "language": (lambda s, d: language.identify(d, language.train(d)), True),
+    "ensemble": (lambda s, d: rule_ensemble.scored(d, rule_ensemble.Ensemble(0.0)), True),
     "mixing": (lambda s, d: mixing.mix(mixing.sized_documents(d)), False),
     "ngrams": (lambda s, d: ngram_join.joined(d), False),
 }
