@@ -13,6 +13,7 @@ import functools
 import shutil
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
@@ -46,10 +47,17 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return path
 
 
-def release_scratch(spark: SparkSession) -> None:
-    """Delete every scratch folder this process handed out."""
-    while _handed_out:
-        storage.delete(spark, _handed_out.pop())
+def release_scratch(spark: SparkSession, folders: Sequence[str] | None = None) -> None:
+    """Delete scratch folders this process handed out: ``folders``, or all."""
+    for folder in list(_handed_out if folders is None else folders):
+        if folder in _handed_out:
+            _handed_out.remove(folder)
+            storage.delete(spark, folder)
+
+
+def handed_out() -> tuple[str, ...]:
+    """The scratch folders that are not yet released, in the order they were handed out."""
+    return tuple(_handed_out)
 
 
 @atexit.register

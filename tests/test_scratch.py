@@ -34,3 +34,15 @@ def test_every_call_gives_a_new_folder_and_release_removes_them(spark):
     assert storage.exists(spark, first)
     scratch.release_scratch(spark)
     assert not storage.exists(spark, first)
+
+
+def test_single_folders_can_be_released(spark):
+    before = scratch.handed_out()
+    kept, gone = scratch.scratch_dir(spark, "kept"), scratch.scratch_dir(spark, "gone")
+    for folder in (kept, gone):
+        spark.range(1).write.parquet(folder)
+    assert scratch.handed_out()[len(before):] == (kept, gone)
+    scratch.release_scratch(spark, [gone, "never/handed/out"])
+    assert storage.exists(spark, kept) and not storage.exists(spark, gone)
+    scratch.release_scratch(spark, [kept])
+    assert scratch.handed_out() == before
