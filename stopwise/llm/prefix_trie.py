@@ -141,6 +141,8 @@ def sequences(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
         count_words(text).alias("words"),
         F.lit(1).cast("long").alias("one"),
     )
+    # Sorting into ranges reads its input twice: digests, not texts.
+    turns = written(spark, turns, "trie-turns")
     placed = _blocks(turns, ["turn", "said"], {"at": ("one", "sum")})
     sizes = placed.groupBy("conv").agg(F.count(F.lit(1)).alias("size"))
     return placed.select("conv", "at", "said", "words"), written(spark, sizes, "trie-sizes")
