@@ -26,7 +26,7 @@ import hashlib
 import heapq
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -40,8 +40,12 @@ from stopwise.llm.text import small_batches_for, unique_name, written
 
 CHUNK = 8_192
 GIANT = 32_768
-CACHED_WORDS = 300_000
+# What a worker keeps: bytes of words with their ids, and pairs of pieces.
+CACHED_BYTES = 32 << 20
+CACHED_PAIRS = 100_000
 CACHED_CHARS = 48
+# A word's share of its dictionary, and the headers of two objects.
+WORD_BYTES = 220
 # Fixed value: the character that stands for a space in pieces.
 SPACE = "▁"
 # Stands for that character where a text itself holds it; no valid text holds a lone surrogate.
@@ -88,8 +92,43 @@ def _pack(ids: list[int]) -> bytes:
     return array("i", ids).tobytes()
 
 
+class Decoder:
+    """Decoding of one Python worker: the bytes of each id, and nothing else."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.bytes_of = [
+            bytes([int(piece[3:5], 16)]) if kind == "byte"
+            else piece.replace(SPACE, " ").encode() if kind == "text"
+            else b""
+            for piece, kind in zip(vocabulary.pieces, vocabulary.kinds)
+        ]
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The bytes of a text; ids that stand for no text, and those out of range, add nothing."""
+        ids, table = np.asarray(ids, np.int32), self.bytes_of
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(table)):
+            ids = ids[(ids >= 0) & (ids < len(table))]
+        joined = b"".join(map(table.__getitem__, ids.tolist()))
+        return joined[1:] if joined[:1] == b" " else joined
+
+
+class WordCache(dict):
+    """Packed ids by word; ``make_room`` empties it before it comes to much over ``CACHED_BYTES``."""
+
+    bytes = 0
+
+    def make_room(self, words: Collection[str]) -> bool:
+        """Before ``words`` are added; False if all others had to go."""
+        more = sum(WORD_BYTES + 4 * len(word) for word in words)
+        full = self.bytes + more > CACHED_BYTES
+        if full:
+            self.clear()
+        self.bytes = more if full else self.bytes + more
+        return not full
+
+
 class Coder:
-    """Encoding and decoding of one Python worker."""
+    """Encoding of one Python worker."""
 
     def __init__(self, vocabulary: Vocabulary):
         text = [i for i, kind in enumerate(vocabulary.kinds) if kind == "text"]
@@ -98,16 +137,11 @@ class Coder:
         self.longest = max(map(len, self.ids), default=1)
         self.newline_free = not any("\n" in piece for piece in self.ids)
         self.byte_ids = [0] * 256
-        self.bytes_of = [b""] * len(vocabulary.pieces)
         for i, (piece, kind) in enumerate(zip(vocabulary.pieces, vocabulary.kinds)):
             if kind == "byte":
-                value = int(piece[3:5], 16)
-                self.byte_ids[value], self.bytes_of[i] = i, bytes([value])
-            elif kind == "text":
-                self.bytes_of[i] = piece.replace(SPACE, " ").encode()
+                self.byte_ids[int(piece[3:5], 16)] = i
         # Packed ids of words that follow a space, without it, and of other pieces of text.
-        self.words: dict[str, bytes] = {}
-        self.others: dict[str, bytes] = {}
+        self.words, self.others = WordCache(), WordCache()
         self.model, self.library = vocabulary.model, None
         self.agreeing: dict[tuple[str, str], bool] = {}
         self.whole: dict[str, bool] = {}
@@ -178,8 +212,7 @@ class Coder:
         if found is None:
             found = _pack(self.ids_of(self.segments(word)))
             if len(word) <= CACHED_CHARS:
-                if len(self.others) >= CACHED_WORDS:
-                    self.others.clear()
+                self.others.make_room([word])
                 self.others[word] = found
         return found
 
@@ -191,13 +224,12 @@ class Coder:
             for line in text.split("\n") if self.newline_free else [text]:
                 seen.update(line.split(SPACE)[1:])
         seen.discard("")
-        if len(self.words) + len(seen) > CACHED_WORDS:
-            self.words.clear()
-        new = [
-            word
-            for word in seen.difference(self.words)
-            if len(word) <= CACHED_CHARS and LITERAL not in word
-        ]
+        fitting = {word for word in seen if len(word) <= CACHED_CHARS and LITERAL not in word}
+        new = list(fitting.difference(self.words))
+        if not self.words.make_room(new):
+            known = fitting.difference(new)
+            self.words.make_room(known)
+            new += known
         if self.library is None:
             import sentencepiece
 
@@ -228,14 +260,6 @@ class Coder:
     def encode(self, text: str | None) -> list[int]:
         return np.frombuffer(self.packed_ids(escaped(text)), np.int32).tolist() if text else []
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        """The bytes of a text; ids that stand for no text, and those out of range, add nothing."""
-        ids, table = np.asarray(ids, np.int32), self.bytes_of
-        if len(ids) and (ids.min() < 0 or ids.max() >= len(table)):
-            ids = ids[(ids >= 0) & (ids < len(table))]
-        joined = b"".join(map(table.__getitem__, ids.tolist()))
-        return joined[1:] if joined[:1] == b" " else joined
-
     # ------------------------------------------------------------------ edges of chunks
 
     def _itself(self, piece: str) -> bool:
@@ -246,7 +270,7 @@ class Coder:
     def agree(self, left: str, right: str) -> bool:
         pair = (left, right)
         if pair not in self.agreeing:
-            if len(self.agreeing) >= CACHED_WORDS:
+            if len(self.agreeing) >= CACHED_PAIRS:
                 self.agreeing.clear()
             self.agreeing[pair] = self.segments(left + right) == [left, right]
         return self.agreeing[pair]
@@ -401,10 +425,10 @@ def decoded(ids, vocabulary: Vocabulary):
 
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        coder = Coder(vocabulary)
+        decoder = Decoder(vocabulary)
         for batch in batches:
             yield pd.Series(
-                [None if x is None else coder.decode(x).decode("utf-8", "replace") for x in batch],
+                [None if x is None else decoder.decode(x).decode("utf-8", "replace") for x in batch],
                 dtype=object,
             )
 
@@ -533,13 +557,13 @@ def round_trips(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(vocabulary)
+        decoder = Decoder(vocabulary)
         for batch in batches:
             doc_ids, texts, lists = batch.column(0), batch.column(1), batch.column(2)
             rows = []
             for text, ids in zip(texts, lists):
                 numbers = ids.values.to_numpy() if ids.is_valid else np.zeros(0, np.int32)
-                body = coder.decode(numbers)
+                body = decoder.decode(numbers)
                 raw = text.as_buffer().to_pybytes() if text.is_valid else b""
                 rows.append(
                     (

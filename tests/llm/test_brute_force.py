@@ -47,6 +47,17 @@ def test_ids_are_those_of_the_library(spark, vocabulary):
         assert coder.encode(text) == library.encode(text)
 
 
+def test_caches_that_overflow_change_nothing(vocabulary, monkeypatch, spark):
+    monkeypatch.setattr(pieces, "CACHED_BYTES", 3_000)
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    coder = pieces.Coder(vocabulary)
+    for text in list(texts_of(spark).values())[:60]:
+        whole = pieces.escaped(text)
+        coder.learn([whole])
+        assert np.frombuffer(coder.packed_ids(whole), np.int32).tolist() == library.encode(text)
+        assert coder.others.bytes <= 3_000 + 64 * 5
+
+
 def test_chunks_give_the_ids_of_whole_texts(spark, documents, vocabulary):
     random.seed(3)
     parts = ["the", "ing", " ", "  ", "    ", "\n", "é", "日本", "==", "AKIA", "▁", "er", "b", "😀"]
@@ -77,7 +88,11 @@ def test_transfer_matrices_combine_associatively(vocabulary):
 def test_query_round_trips(spark):
     rows = REGISTRY["op3_sentencepiece"](spark, SMALL).collect()
     texts = texts_of(spark)
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     assert len(rows) == len(texts) and all(r["round_trip"] for r in rows)
+    for row in rows:
+        ids = np.array(library.encode(texts[row["doc_id"]]), "<i4").tobytes()
+        assert row["ids_sha256"] == hashlib.sha256(ids).hexdigest()
     for row in rows:
         assert row["decoded_sha256"] == hashlib.sha256(texts[row["doc_id"]].encode()).hexdigest()
 
