@@ -20,6 +20,7 @@ from stopwise.operators.expectations import failures, raise_on_failures, require
 from stopwise.sources.tables import (
     SchemaMismatch,
     TableShape,
+    claim_shape,
     merged_type,
     name_folding,
     quoted,
@@ -33,8 +34,16 @@ log = logging.getLogger(__name__)
 
 SAVE_MODES = ("overwrite", "append", "ignore", "error", "errorifexists")
 STREAM_LOG = "_spark_metadata"
+# Folders and files in a table that readers do not see: rows on their way in, partitions on their
+# way in and out, and the last batch of each stream.
+ADDING = "_stopwise_adding."
+REPLACING = "_stopwise_replacing."
+RETIRED = "_stopwise_retired."
+BATCH_DONE = "_stopwise_batch."
+# Marks a folder whose rows are all there and may be moved in.
+COMPLETE = "_stopwise_complete"
 
-__all__ = ["SAVE_MODES", "SchemaMismatch", "write_table"]
+__all__ = ["SAVE_MODES", "SchemaMismatch", "replace_partitions", "write_batch", "write_table"]
 
 
 def write_table(
@@ -50,6 +59,7 @@ def write_table(
     sort_cols: Sequence[str] = (),
     staged: bool = True,
     checks: Mapping[str, str] | None = None,
+    _tag: str | None = None,
 ) -> DataFrame:
     """Write ``df`` to ``path`` and return the stored table.
 
@@ -63,13 +73,16 @@ def write_table(
       table it replaces. The swap is two renames. Where a rename copies the data (object
       stores) use ``fmt="delta"``, or ``staged=False`` to write in place without that safety.
       A swap that was interrupted is undone by the next write.
+    * An append is staged too, in a hidden folder of the table, and its files are then moved in
+      one by one. ``staged=False`` has the job write straight into the table.
     * ``checks`` (name -> condition) must not be FALSE for any row. Rows that are staged are
-      counted as they are written, and swapped in only if all is well; other writes are
-      preceded by one pass that counts all rules.
+      counted as they are written, and swapped or moved in only if all is well; other writes
+      are preceded by one pass that counts all rules.
 
-    Appends may run side by side, those that add columns too. An overwrite must be the only
-    writer of its table. A folder that a stream appends to carries a log of its files and shows
-    no others, so a batch append to it, which would be invisible, raises.
+    Staged appends may run side by side, those that add columns and those that make the table
+    too: whoever declares its schema first made it, the others add to it. An overwrite must be
+    the only writer of its table. A folder that another program's stream writes carries a log of
+    its files and shows no others, so an append to it, which would be invisible, raises.
     """
     spark = df.sparkSession
     if fmt == "delta":
@@ -92,34 +105,156 @@ def write_table(
     old = _shape_of(spark, path, fmt) if present else None
     if old is None or (replace_schema and mode == "overwrite"):
         shape = TableShape(df.schema, tuple(partition_cols))
+        rows = df
     else:
         fold = name_folding(spark)
         shape = _evolve(old, df.schema, tuple(partition_cols), mode, merge_schema, fold)
-        df = _align(df, shape.schema, fold)
+        rows = _align(df, shape.schema, fold)
 
-    df = _arranged(df, shape.partition_cols, rebalance, sort_cols)
-    in_place = present and (mode == "append" or not staged)
-    if in_place and storage.exists(spark, f"{path.rstrip('/')}/{STREAM_LOG}"):
+    rows = _arranged(rows, shape.partition_cols, rebalance, sort_cols)
+    adds = mode != "overwrite"
+    if (adds or not staged) and storage.exists(spark, f"{_folder(path)}/{STREAM_LOG}"):
         raise ValueError(f"{path} is written by a stream; what a batch adds would not be read")
-    if checks and (in_place or not staged):
+    if checks and not staged:
         require_all(df, checks)
-    if not present and not (checks and staged):
-        _save(df, path, "overwrite", shape, fmt)
-        save_shape(spark, path, shape)
-    elif mode == "append" and present:
-        # The wider schema goes first: until the new files land, old files read as NULL.
-        if old is None or shape != saved_shape(spark, path):
-            save_shape(spark, path, shape, added=saved_shape(spark, path) is not None)
-        _save(df, path, "append", shape, fmt)
-    elif staged:
-        _replace(spark, df, path, shape, fmt, checks or {})
+    if adds:
+        folder = f"{_folder(path)}/{ADDING}{_tag or uuid.uuid4().hex}"
+        if staged:
+            _stage(rows, folder, shape, fmt, checks or {})
+        try:
+            declared = _declare(spark, path, shape, present)
+        except BaseException:
+            storage.delete(spark, folder)
+            raise
+        if not declared:
+            # Another writer has made the table since it was looked for.
+            storage.delete(spark, folder)
+            return write_table(
+                df, path, mode=mode, partition_cols=partition_cols, merge_schema=merge_schema,
+                fmt=fmt, rebalance=rebalance, sort_cols=sort_cols, staged=staged, checks=checks,
+                _tag=_tag,
+            )
+        if staged:
+            storage.write_text(spark, f"{folder}/{COMPLETE}", "")
+            storage.move_files(spark, folder, path)
+            if _tag is None:
+                storage.delete(spark, folder)
+        else:
+            _save(rows, path, "append", shape, fmt)
+    elif staged and (present or checks):
+        _replace(spark, rows, path, shape, fmt, checks or {})
     else:
-        _save(df, path, "overwrite", shape, fmt)
+        _save(rows, path, "overwrite", shape, fmt)
         save_shape(spark, path, shape)
     spark.catalog.refreshByPath(path)
     return read_table(spark, path, fmt, shape.schema)
 
 
+def _declare(spark: SparkSession, path: str, shape: TableShape, present: bool) -> bool:
+    """Make the shape of rows known before they land, so that older files read as NULL in new
+    columns. False if the table was to be new and another writer has made it."""
+    if not present:
+        return claim_shape(spark, path, shape)
+    known = saved_shape(spark, path)
+    if known == shape or (known is None and claim_shape(spark, path, shape)):
+        return True
+    added = save_shape(spark, path, shape, added=True)
+    try:
+        saved_shape(spark, path)
+    except SchemaMismatch:
+        # Another writer has added a column of the same name and another type.
+        storage.delete(spark, added)
+        raise
+    return True
+
+
+def write_batch(
+    df: DataFrame, path: str, stream: str, number: int, *, fmt: str = "parquet", **options
+) -> bool:
+    """Append batch ``number`` of ``stream`` to a table, once: False if that was done before.
+
+    Numbers of a stream ascend, and only its last one is kept. Batches and the appends of
+    ``write_table`` (whose ``options`` these are) may share a table. A batch that died while its
+    files were moved in is finished by its next attempt, and not written again.
+    """
+    spark = df.sparkSession
+    if not stream.replace("-", "").isalnum():
+        raise ValueError(f"the name of a stream has letters, digits and hyphens, not {stream!r}")
+    done = [
+        name for name in storage.names_in(spark, _folder(path)) if name.startswith(f"{BATCH_DONE}{stream}.")
+    ]
+    if any(int(name.rpartition(".")[2]) >= number for name in done):
+        return False
+    tag = f"{stream}.{number:020d}"
+    staged = f"{_folder(path)}/{ADDING}{tag}"
+    if storage.is_there(spark, f"{staged}/{COMPLETE}"):
+        storage.move_files(spark, staged, path)
+    else:
+        storage.delete(spark, staged)
+        write_table(df, path, mode="append", fmt=fmt, _tag=tag, **options)
+    storage.write_text(spark, f"{_folder(path)}/{BATCH_DONE}{tag}", "")
+    storage.delete(spark, staged)
+    for name in done:
+        storage.delete(spark, f"{_folder(path)}/{name}")
+    return True
+
+
+def replace_partitions(
+    df: DataFrame,
+    path: str,
+    *,
+    fmt: str = "parquet",
+    sort_cols: Sequence[str] = (),
+    checks: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Replace the partitions of a table that ``df`` has rows of; files of others are not touched.
+
+    ``df`` has the table's columns, and may be a query over the table itself. Its rows are staged
+    in the table and the partitions swapped one by one, two renames each, so a reader may see some
+    old and some new. A swap that was interrupted is finished by the next call. It must be the only
+    writer of its table.
+    """
+    spark = df.sparkSession
+    _finish_replacing(spark, path)
+    shape = saved_shape(spark, path)
+    if shape is None or not shape.partition_cols:
+        raise ValueError(f"{path} is not a partitioned table of this library")
+    fold = name_folding(spark)
+    if not same_type(merged_type(shape.schema, df.schema, fold), shape.schema):
+        raise SchemaMismatch(f"the rows have columns that {path} lacks")
+    df = _arranged(_align(df, shape.schema, fold), shape.partition_cols, True, sort_cols)
+    staged = f"{_folder(path)}/{REPLACING}{uuid.uuid4().hex}"
+    _stage(df, staged, shape, fmt, checks or {})
+    storage.write_text(spark, f"{staged}/{COMPLETE}", "")
+    _finish_replacing(spark, path)
+    spark.catalog.refreshByPath(path)
+    return read_table(spark, path, fmt, shape.schema)
+
+
+def _finish_replacing(spark: SparkSession, path: str) -> None:
+    """Swap in the partitions that are staged in full; drop those that are not."""
+    folder = _folder(path)
+    for name in storage.names_in(spark, folder):
+        if not name.startswith(REPLACING):
+            continue
+        staged = f"{folder}/{name}"
+        retired = f"{folder}/{RETIRED}{name.removeprefix(REPLACING)}"
+        if storage.is_there(spark, f"{staged}/{COMPLETE}"):
+            parts = {file.rpartition("/")[0] for file in storage.data_files(spark, staged)}
+            for part in sorted(parts):
+                if storage.is_there(spark, f"{folder}/{part}"):
+                    storage.make_folder(spark, f"{retired}/{part}".rpartition("/")[0])
+                    storage.rename(spark, f"{folder}/{part}", f"{retired}/{part}")
+                storage.make_folder(spark, f"{folder}/{part}".rpartition("/")[0])
+                storage.rename(spark, f"{staged}/{part}", f"{folder}/{part}")
+        storage.delete(spark, retired)
+        storage.delete(spark, staged)
+
+
+def _folder(path: str) -> str:
+    return path.rstrip("/")
+
+
 def _arranged(
     df: DataFrame, partition_cols: tuple[str, ...], rebalance: bool, sort_cols: Sequence[str]
 ) -> DataFrame:
@@ -140,6 +275,23 @@ def _save(df: DataFrame, path: str, mode: str, shape: TableShape, fmt: str) -> N
     writer.save(path)
 
 
+def _stage(
+    df: DataFrame, staged: str, shape: TableShape, fmt: str, checks: Mapping[str, str]
+) -> None:
+    """Write ``df`` to a new folder, or nothing if it fails a check. Jobs that write to one folder
+    share a place in it for unfinished files, which the first to end deletes; so each has its own."""
+    try:
+        if checks:
+            seen = Observation()
+            _save(df.observe(seen, *failures(checks)), staged, "errorifexists", shape, fmt)
+            raise_on_failures(checks, seen.get)
+        else:
+            _save(df, staged, "errorifexists", shape, fmt)
+    except BaseException:
+        storage.delete(df.sparkSession, staged)
+        raise
+
+
 def _replace(
     spark: SparkSession,
     df: DataFrame,
@@ -151,17 +303,8 @@ def _replace(
     tag = uuid.uuid4().hex
     staged = f"{path.rstrip('/')}__new_{tag}"
     retired = f"{path.rstrip('/')}__old_{tag}"
-    try:
-        if checks:
-            seen = Observation()
-            _save(df.observe(seen, *failures(checks)), staged, "errorifexists", shape, fmt)
-            raise_on_failures(checks, seen.get)
-        else:
-            _save(df, staged, "errorifexists", shape, fmt)
-        save_shape(spark, staged, shape)
-    except BaseException:
-        storage.delete(spark, staged)
-        raise
+    _stage(df, staged, shape, fmt, checks)
+    save_shape(spark, staged, shape)
     there = storage.exists(spark, path)
     if there:
         storage.rename(spark, path, retired)

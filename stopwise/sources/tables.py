@@ -41,10 +41,18 @@ class TableShape:
         return cls(StructType.fromJson(saved["schema"]), tuple(saved["partition_cols"]))
 
 
-def save_shape(spark: SparkSession, path: str, shape: TableShape, added: bool = False) -> None:
-    """Declare the shape of a table; ``added`` leaves what others declared as it is."""
+def save_shape(spark: SparkSession, path: str, shape: TableShape, added: bool = False) -> str:
+    """Declare the shape of a table; ``added`` leaves what others declared as it is. Returns the
+    path of the declaration."""
     name = f"{ADDED_SCHEMA}{time.time_ns():020d}.{uuid.uuid4().hex}.json" if added else SCHEMA_FILE
-    storage.write_text(spark, f"{path.rstrip('/')}/{name}", shape.to_json())
+    place = f"{path.rstrip('/')}/{name}"
+    storage.write_text(spark, place, shape.to_json())
+    return place
+
+
+def claim_shape(spark: SparkSession, path: str, shape: TableShape) -> bool:
+    """Declare the shape of a table that has none yet; False if another writer was first."""
+    return storage.create_text(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}", shape.to_json())
 
 
 def saved_shape(spark: SparkSession, path: str) -> TableShape | None:

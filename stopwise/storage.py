@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -45,6 +48,17 @@ def folders_below(spark: SparkSession, root: str, file_uri: str) -> list[str]:
     return whole.removeprefix(top).split("/")[:-1] if whole.startswith(top) else []
 
 
+def is_there(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder of exactly this name."""
+    fs, target = _resolve(spark, path)
+    return bool(fs.exists(target))
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, target = _resolve(spark, path)
+    fs.mkdirs(target)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = _resolve(spark, path)
     fs.delete(target, True)
@@ -65,6 +79,63 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a file that does not exist yet; False, and nothing written, if it does.
+
+    Of several writers one wins, and nobody sees the file before all of it is there: it is written
+    under another name and linked (on a local disk) or renamed, neither of which replaces a file.
+    """
+    fs, target = _resolve(spark, path)
+    jvm = spark._jvm
+    draft = jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_stopwise_draft.{uuid.uuid4().hex}")
+    write_text(spark, draft.toString(), text)
+    try:
+        if fs.getUri().getScheme() != "file":
+            return bool(not fs.exists(target) and fs.rename(draft, target))
+        here, there = (jvm.java.io.File(fs.makeQualified(f).toUri().getPath()) for f in (draft, target))
+        jvm.java.nio.file.Files.createLink(there.toPath(), here.toPath())
+        return True
+    except Py4JJavaError:
+        if fs.exists(target):
+            return False
+        raise
+    finally:
+        fs.delete(draft, False)
+
+
+def _is_hidden(name: str) -> bool:
+    """Whether a scan passes over a name; the folder of a partition column is never hidden."""
+    return name.startswith(".") or (name.startswith("_") and "=" not in name)
+
+
+def data_files(spark: SparkSession, folder: str) -> list[str]:
+    """Paths, relative to ``folder``, of the files in and below it that readers see, sorted."""
+    fs, target = _resolve(spark, folder)
+    if not fs.exists(target):
+        return []
+    top = fs.makeQualified(target).toUri().getPath().rstrip("/") + "/"
+    found, files = [], fs.listFiles(target, True)
+    while files.hasNext():
+        name = files.next().getPath().toUri().getPath().removeprefix(top)
+        if not any(_is_hidden(part) for part in name.split("/")):
+            found.append(name)
+    return sorted(found)
+
+
+def move_files(spark: SparkSession, source: str, destination: str) -> None:
+    """Move the data files below ``source`` to the same places below ``destination``. What an
+    interrupted call left behind is moved by the next."""
+    fs, origin = _resolve(spark, source)
+    made = set()
+    for name in data_files(spark, source):
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{destination.rstrip('/')}/{name}")
+        parent = name.rpartition("/")[0]
+        if parent not in made:
+            fs.mkdirs(place.getParent())
+            made.add(parent)
+        rename(spark, f"{source.rstrip('/')}/{name}", place.toString())
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, target = _resolve(spark, path)
     stream = fs.open(target)

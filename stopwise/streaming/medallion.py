@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from stopwise import storage
 from stopwise.operators.expectations import require
 from stopwise.plans.decorators import expect_or_drop, temporary_view
 from stopwise.plans.medallion import BRONZE_TIME, SILVER_CONDITION, SILVER_TIME, SILVER_VIEW, stamp
+from stopwise.sinks.tables import write_batch
 
 
 def stream_json_tree(
@@ -34,12 +37,12 @@ def start_bronze(
     """Append what has arrived to the bronze table, then stop.
 
     ``checkpoint`` must outlive the driver: it is how a restarted query knows which files
-    are done. Run on a schedule, this loads each file exactly once.
+    are done. Run on a schedule, this loads each file exactly once. The table is one like any
+    other: batches may be appended to it and columns added, before and while it is streamed to.
     """
     rows = stamp(stream_json_tree(spark, raw_path, schema, files_per_batch), BRONZE_TIME)
     return (
-        rows.writeStream.format("parquet")
-        .option("path", bronze_path)
+        rows.writeStream.foreachBatch(table_batches(bronze_path, checkpoint))
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(availableNow=True)
@@ -47,6 +50,24 @@ def start_bronze(
     )
 
 
+def table_batches(path: str, checkpoint: str, **options) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that appends each batch to a table once, however often it is
+    attempted. Batches are told apart by number and by the id that the checkpoint keeps, so a query
+    that starts over with a new checkpoint is another stream. ``options`` are ``write_table``'s.
+    """
+
+    def add(batch: DataFrame, number: int) -> None:
+        write_batch(batch, path, stream_id(batch.sparkSession, checkpoint), number, **options)
+
+    return add
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the query that a checkpoint belongs to; it outlives restarts."""
+    kept = storage.read_text(spark, f"{checkpoint.rstrip('/')}/metadata")
+    return json.loads(kept)["id"]
+
+
 def stream_silver(
     spark: SparkSession, bronze_path: str, schema: StructType, view: str = SILVER_VIEW
 ) -> DataFrame:
