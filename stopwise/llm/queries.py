@@ -151,11 +151,8 @@ def op12_prefix_trie(spark, sf):
 def op11_rule_ensemble(spark, sf):
     docs = read(spark, sf, "documents").select("doc_id", "text")
     docs = docs.withColumn("held_out", language.held_out())
-    marks = read(spark, sf, "labels").select(
-        F.col("doc_id").alias("of"), F.col("quality").alias("label")
-    )
-    teaching = docs.where("not held_out").join(marks, F.col("doc_id") == F.col("of"))
-    model = rule_ensemble.train(teaching.select("doc_id", "text", "label"))
+    marks = read(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
+    model = rule_ensemble.train(docs, marks.where(~language.held_out()))
     return rule_ensemble.scored(docs, model).select(
         "doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
     )

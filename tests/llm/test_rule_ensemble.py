@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import re
 
+import numpy as np
 import pytest
 from conftest import SMALL, plan_of
 from llm_cases import ODD_TEXTS, documents  # noqa: F401
@@ -105,16 +106,15 @@ def test_compiled_scores_agree(spark, documents):
 @pytest.fixture(scope="module")
 def judged(spark):
     docs = spark.read.parquet(f"{MEDIUM}/documents.parquet").select("doc_id", "text")
-    docs = docs.withColumn("held_out", language.held_out())
-    marks = spark.read.parquet(f"{MEDIUM}/labels.parquet").select(F.col("doc_id").alias("of"), "quality")
-    rows = docs.join(marks, F.col("doc_id") == F.col("of")).withColumn("label", F.col("quality"))
-    model = rule_ensemble.train(rows.where("not held_out").select("doc_id", "text", "label"))
-    return rows, model
+    marks = spark.read.parquet(f"{MEDIUM}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
+    model = rule_ensemble.train(docs, marks.where(~language.held_out()))
+    return docs, marks, model
 
 
 def test_held_out_accuracy(judged):
-    rows, model = judged
-    out = rule_ensemble.scored(rows.where("held_out"), model).select("label", "score").collect()
+    docs, marks, model = judged
+    out = rule_ensemble.scored(docs.join(marks, "doc_id").where(language.held_out()), model)
+    out = out.select("label", "score").collect()
     good = [r["score"] for r in out if r["label"] == 1]
     bad = [r["score"] for r in out if r["label"] == 0]
     assert len(good) > 40 and len(bad) > 5
@@ -125,30 +125,56 @@ def test_held_out_accuracy(judged):
 
 
 def test_the_ensemble_is_sparse_and_repeatable(judged):
-    rows, model = judged
+    docs, marks, model = judged
     assert 1 <= len(model.rules) <= 60
-    again = rule_ensemble.train(rows.where("not held_out").select("doc_id", "text", "label").repartition(3))
+    # Held-out labels change nothing, nor does how the rows lie.
+    flipped = marks.withColumn("label", F.when(language.held_out(), 1 - F.col("label")).otherwise(F.col("label")))
+    again = rule_ensemble.train(docs.repartition(3), flipped.where(~language.held_out()).repartition(2))
     assert again == model
 
 
 def test_more_rows_than_are_drawn(judged):
-    rows, _ = judged
-    model = rule_ensemble.train(rows.select("doc_id", "text", "label"), rows=60)
+    docs, marks, whole = judged
+    model = rule_ensemble.train(docs.unionAll(docs), marks, rows=40)
+    assert model != whole
     clean, shouted = plain_statistics("A few words of a text. " * 20), plain_statistics("LOUD!! " * 200)
-    assert plain_score(model, clean) != plain_score(model, shouted) or not model.rules
+    assert plain_score(model, clean) > plain_score(model, shouted) or not model.rules
+
+
+def test_lasso_finds_the_least_loss():
+    draw = np.random.default_rng(3)
+    marks = draw.random((400, 6)) < [0.5, 0.3, 0.5, 0.1, 0.5, 0.5]
+    marks[:, 5] = True
+    labels = (draw.random(400) < 1 / (1 + np.exp(-(2.0 * marks[:, 0] - 3.0 * marks[:, 1] + 0.5)))).astype(float)
+    spread = marks.std(axis=0)
+
+    def loss(b, w, penalty):
+        p = 1 / (1 + np.exp(-(marks @ w + b)))
+        return rule_ensemble.log_loss(p, labels) + penalty * (np.abs(w) * spread).sum()
+
+    for penalty in (0.001, 0.02, 0.08):
+        b, w = rule_ensemble.lasso(marks, labels, penalty)
+        assert w[5] == 0 and (np.sign(w[:2]) == [1, -1]).all()
+        best = loss(b, w, penalty)
+        for _ in range(300):
+            assert loss(b + draw.normal(0, 0.02), w + draw.normal(0, 0.02, 6), penalty) >= best - 1e-9
+    assert (w[2:] == 0).all()
 
 
 def test_labels_of_one_kind_or_none(spark, documents):
     docs = documents(ODD_TEXTS)
-    for labels, want in (((1,), 0.9999), ((0,), 0.0001), ((None, 7), 0.5)):
-        marked = docs.withColumn("label", F.element_at(F.array(*map(F.lit, labels)), 1).cast("int"))
-        scores = {r["score"] for r in rule_ensemble.scored(docs, rule_ensemble.train(marked)).collect()}
+    for label, want in ((1, 0.9999), (0, 0.0001), (7, 0.5), (None, 0.5)):
+        marks = docs.select("doc_id", F.lit(label).cast("int").alias("label"))
+        scores = {r["score"] for r in rule_ensemble.scored(docs, rule_ensemble.train(docs, marks)).collect()}
         assert [round(s, 6) for s in scores] == [want]
-    assert rule_ensemble.train(documents([]).withColumn("label", F.lit(1))) == Ensemble(0.0)
+    both = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, label int")
+    assert rule_ensemble.train(documents([]), both) == Ensemble(0.0)
+    assert rule_ensemble.train(docs, both.where("false")) == Ensemble(0.0)
 
 
 def test_labels_without_pattern(spark, documents):
     """Texts that do not differ leave a tree nothing to split."""
-    docs = documents([(k, "same words") for k in range(40)]).withColumn("label", F.col("doc_id") % 4 == 0)
-    model = rule_ensemble.train(docs.withColumn("label", F.col("label").cast("int")))
+    docs = documents([(k, "same words") for k in range(40)])
+    marks = docs.select("doc_id", (F.col("doc_id") % 4 == 0).cast("int").alias("label"))
+    model = rule_ensemble.train(docs, marks)
     assert model.rules == () and 1 / (1 + math.exp(-model.intercept)) == pytest.approx(0.25)
