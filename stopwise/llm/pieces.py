@@ -43,6 +43,7 @@ GIANT = 32_768
 # What a worker keeps: bytes of words with their ids, and pairs of pieces.
 CACHED_BYTES = 32 << 20
 CACHED_PAIRS = 100_000
+STRETCH = 1 << 20
 CACHED_CHARS = 48
 # A word's share of its dictionary, and the headers of two objects.
 WORD_BYTES = 220
@@ -227,9 +228,8 @@ class Coder:
         fitting = {word for word in seen if len(word) <= CACHED_CHARS and LITERAL not in word}
         new = list(fitting.difference(self.words))
         if not self.words.make_room(new):
-            known = fitting.difference(new)
-            self.words.make_room(known)
-            new += known
+            new = list(fitting)
+            self.words.bytes = sum(WORD_BYTES + 4 * len(word) for word in new)
         if self.library is None:
             import sentencepiece
 
@@ -411,14 +411,30 @@ def _encoded(vocabulary: Vocabulary):
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         coder = Coder(vocabulary)
         for batch in batches:
-            texts = [escaped(text) if text else "" for text in batch]
-            coder.learn(texts)
-            ids = [np.frombuffer(coder.packed_ids(t) if t else b"", np.int32) for t in texts]
+            ids = []
+            for some in _stretches(batch):
+                texts = [escaped(text) if text else "" for text in some]
+                coder.learn(texts)
+                ids += [np.frombuffer(coder.packed_ids(t) if t else b"", np.int32) for t in texts]
             yield pd.Series(ids, dtype=object)
 
     return run
 
 
+def _stretches(texts: pd.Series) -> Iterator[list[str | None]]:
+    """The same texts, about ``STRETCH`` characters at a time: what is made of them is many times
+    their size."""
+    some, size = [], 0
+    for text in texts:
+        some.append(text)
+        size += len(text or "")
+        if size >= STRETCH:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
 def decoded(ids, vocabulary: Vocabulary):
     """The text of a column of ids, as a column; null for null. Bytes that are no UTF-8, which
     no encoded text gives, become U+FFFD."""
