@@ -36,6 +36,16 @@ def trip_count(df: DataFrame) -> Column:
     return F.sum(TRIPS) if _counted(df, TRIPS) else F.count("trip_id")
 
 
+def arrivals_of(df: DataFrame) -> Column:
+    """How many arrivals a row stands for."""
+    return F.col(ROWS) if _counted(df, ROWS) else F.lit(1).cast("long")
+
+
+def trips_of(df: DataFrame) -> Column:
+    """How many arrivals with a trip id a row stands for."""
+    return F.col(TRIPS) if _counted(df, TRIPS) else F.col("trip_id").isNotNull().cast("long")
+
+
 def tally(df: DataFrame, *keys: str) -> DataFrame:
     """Per key: ``n_rows`` arrivals, ``n_trips`` of them with a trip id."""
     marked = {TALLY: True}

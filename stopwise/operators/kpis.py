@@ -62,9 +62,12 @@ def hour_kpi(
 
     One scan reads both hours. The counts are always there, 0 where an hour is empty.
     """
-    before = hour_before(hour)
-    hours = hourly_activity(at_hour(arrivals, hour, before), by, selected)
-    return hours.agg(*_comparisons(F.col("hour") == hour, F.col("hour") == before))
+    return compared(hourly_activity(at_hour(arrivals, hour, hour_before(hour)), by, selected), hour)
+
+
+def compared(hours: DataFrame, hour: int) -> DataFrame:
+    """``hour_kpi`` from the figures of ``hourly_activity``, those of other hours among them."""
+    return hours.agg(*_comparisons(F.col("hour") == hour, F.col("hour") == hour_before(hour)))
 
 
 def hour_kpi_all(
@@ -75,7 +78,11 @@ def hour_kpi_all(
     The hourly figures, a row per hour, count once as current for their own hour and once as
     previous for the next. Hours past 23 belong to neither.
     """
-    hours = hourly_activity(arrivals, by, selected)
+    return compared_all(hourly_activity(arrivals, by, selected))
+
+
+def compared_all(hours: DataFrame) -> DataFrame:
+    """``hour_kpi_all`` from the figures of ``hourly_activity``."""
     hour = F.col("hour")
     following = F.when(hour < HOURS_PER_DAY, hour_after(hour))
     roles = F.array(
@@ -83,7 +90,7 @@ def hour_kpi_all(
         F.struct(following.alias("slot"), F.lit(False).alias("is_current")),
     )
     placed = hours.select(*MEASURES, F.inline(roles))
-    day = arrivals.sparkSession.range(HOURS_PER_DAY).select(F.col("id").cast("int").alias("hour"))
+    day = hours.sparkSession.range(HOURS_PER_DAY).select(F.col("id").cast("int").alias("hour"))
     return (
         day.join(placed, F.col("hour") == F.col("slot"), "left")
         .groupBy("hour")

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Rows of the busiest-stops report and of the map.
 TOP_STOPS = 10
 MAP_ROWS = 12000
 
-_HASH_DIGITS = 32
+# Spark's ascending ids hold the number of a row in its partition in their low 33 bits.
+_NUMBER_IN_PARTITION = (1 << 33) - 1
 
 
 def busiest(
@@ -41,29 +42,22 @@ def exact_sample(
     tell rows apart; rows that share them are drawn together, in the order of ``ties``.
 
     Each task keeps ``rows`` candidates and one task merges them, which is right for an
-    aggregate of a few thousand partitions at most. For single arrivals set ``prefilter``: a
-    first pass counts rows by the leading zeros of their hash, 33 counts at most, and the
-    second goes on with only those that have enough of them. The smallest hashes have the
-    most zeros, so the result is the same, and the last task sees about sixteen times the
-    sample, however many rows and tasks there are.
+    aggregate of a few thousand partitions at most. For more, or for single arrivals, set
+    ``prefilter``: candidates are dealt out anew by their hash and thinned again before that task,
+    so it sees ``rows`` for each 64 MB or so of candidates, not for each task. Either way ``df`` is
+    read once.
     """
+    order = ["_hash", *keys, *ties]
     hashed = df.withColumn("_hash", sample_hash(keys, seed))
     if prefilter:
-        hashed = hashed.filter(_digits("_hash") <= _digits_reaching(hashed, rows).scalar())
-    return hashed.orderBy("_hash", *keys, *ties).limit(rows).drop("_hash")
+        hashed = least_of_each_task(hashed, order, rows).repartition(F.col("_hash"))
+        hashed = least_of_each_task(hashed, order, rows)
+    return hashed.orderBy(*order).limit(rows).drop("_hash")
 
 
-def _digits(hashed: str) -> Column:
-    """Digits of a hash that are left without its leading zeros."""
-    return F.length(F.ltrim(F.col(hashed), F.lit("0")))
-
-
-def _digits_reaching(hashed: DataFrame, rows: int) -> DataFrame:
-    """One value: the fewest digits that at least ``rows`` hashes keep to."""
-    counts = hashed.groupBy(_digits("_hash").alias("digits")).agg(F.count(F.lit(1)).alias("n"))
-    so_far = Window.orderBy("digits").rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        counts.withColumn("reached", F.sum("n").over(so_far))
-        .filter(F.col("reached") >= rows)
-        .agg(F.coalesce(F.min("digits"), F.lit(_HASH_DIGITS)))
-    )
+def least_of_each_task(df: DataFrame, order: Sequence[str], rows: int) -> DataFrame:
+    """The first ``rows`` of each partition in ``order``: whatever the partitions are, the first
+    ``rows`` of all are among them."""
+    number = F.monotonically_increasing_id().bitwiseAND(F.lit(_NUMBER_IN_PARTITION))
+    numbered = df.sortWithinPartitions(*order).withColumn("_number", number)
+    return numbered.filter(F.col("_number") < rows).drop("_number")

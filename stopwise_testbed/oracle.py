@@ -283,3 +283,14 @@ ORACLE["stored_digest"] = (
 )
 ORACLE["stored_route_summary"] = ORACLE["route_summary"]
 ORACLE["stored_kpi_day"] = ORACLE["hour_kpi_all"]
+ORACLE["side_by_side_append"] = "select * from orders"
+ORACLE["batch_once"] = "select * from orders"
+ORACLE["partition_replace"] = """
+  select * replace (
+    case when o_orderstatus <> 'F' then 2 * o_totalprice else o_totalprice end as o_totalprice)
+  from orders"""
+ORACLE["stream_beside_batch"] = "select event_type, count(*) as n from events group by event_type"
+ORACLE["merged_digest"] = ORACLE["stored_digest"]
+ORACLE["indexed_kpi_day"] = ORACLE["hour_kpi_all"]
+ORACLE["indexed_kpi"] = ORACLE["hour_kpi"]
+ORACLE["indexed_route_summary"] = ORACLE["route_summary"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ from stopwise.plans.decorators import (
 )
 from stopwise.plans.medallion import Medallion, land_raw
 from stopwise.scratch import scratch_dir
-from stopwise.sinks.tables import write_table
+from stopwise.sinks.tables import replace_partitions, write_batch, write_table
 from stopwise.sinks.views import preview
 from stopwise.sources.delimited import read_delimited
 from stopwise.sources.feeds import load_feed, load_feeds
@@ -102,6 +103,20 @@ def bronze_silver_stream(spark, sf):
     return kept.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def stream_beside_batch(spark, sf):
+    """Half of the events appended, the others streamed, both into one bronze table."""
+    raw, bronze = _raw_events(spark, sf), scratch_dir(spark, "bronze")
+    by_hand = read_json_tree(spark, raw, _raw_schema()).where("event_id % 2 = 0")
+    write_table(by_hand, bronze, mode="append")
+    halves = scratch_dir(spark, "raw")
+    read_json_tree(spark, raw, _raw_schema()).where("event_id % 2 = 1").write.json(halves)
+    start_bronze(
+        spark, halves, _raw_schema(), bronze, scratch_dir(spark, "progress")
+    ).awaitTermination()
+    return read_table(spark, bronze).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def json_ingest(spark, sf):
     tree = read_json_tree(spark, _raw_events(spark, sf))
@@ -132,6 +147,38 @@ def append_write(spark, sf):
     return write_table(orders, path, mode="append")
 
 
+@query
+def side_by_side_append(spark, sf):
+    """Four writers that append to a table at once; whichever is first makes it."""
+    path, orders = scratch_dir(spark, "orders"), read(spark, sf, "orders")
+
+    def add(part):
+        write_table(orders.where(f"o_orderkey % 4 = {part}"), path, mode="append")
+
+    with ThreadPoolExecutor(4) as writers:
+        list(writers.map(add, range(4)))
+    return read_table(spark, path)
+
+
+@query
+def batch_once(spark, sf):
+    """Batches of a stream, one of them attempted twice, between appends to the same table."""
+    path, orders = scratch_dir(spark, "orders"), read(spark, sf, "orders")
+    write_table(orders.where("o_orderkey % 3 = 0"), path, mode="append")
+    for number in (1, 2, 2, 1):
+        write_batch(orders.where(f"o_orderkey % 3 = {number}"), path, "orders", number)
+    return read_table(spark, path)
+
+
+@query
+def partition_replace(spark, sf):
+    """Two of the three partitions of a table doubled in place."""
+    path = scratch_dir(spark, "orders")
+    stored = write_table(read(spark, sf, "orders"), path, partition_cols=["o_orderstatus"])
+    changed = stored.where("o_orderstatus <> 'F'")
+    return replace_partitions(changed.withColumn("o_totalprice", F.col("o_totalprice") * 2), path)
+
+
 @query
 def partitioned_write(spark, sf):
     path = scratch_dir(spark, "orders")
@@ -660,3 +707,47 @@ def stored_route_summary(spark, sf):
 @query
 def stored_kpi_day(spark, sf):
     return _stored_dashboard(spark, sf).kpi_day()
+
+
+def _parts_of_arrivals(spark, sf, parts):
+    """Dashboards over the arrivals of every so many events, as batches would bring them."""
+    arrivals, stops = roles.arrivals(spark, sf), roles.stops(spark, sf)
+    colours = roles.routes(spark, sf)
+    return [
+        route_dashboard(stops, joins.attach_routes(arrivals.where(f"trip_id % {parts} = {k}"), colours))
+        for k in range(parts)
+    ]
+
+
+@query
+def merged_digest(spark, sf):
+    """The digest from three batches, one of them merged twice."""
+    path = scratch_dir(spark, "digest")
+    first, second, third = _parts_of_arrivals(spark, sf, 3)
+    first.stored(path)
+    for number, batch in ((1, second), (2, third), (2, third)):
+        dashboard = batch.merged_into(path, once=("arrivals", number))
+    return dashboard.arrivals
+
+
+def _index(spark, sf):
+    first, second = _parts_of_arrivals(spark, sf, 2)
+    index = first.indexed(scratch_dir(spark, "index"))
+    index.merge(second, once=("arrivals", 1))
+    return index
+
+
+@query
+def indexed_kpi_day(spark, sf):
+    """Hour over hour for all hours from stored bitmaps, built of one batch and merged with another."""
+    return _index(spark, sf).kpi_day()
+
+
+@query
+def indexed_kpi(spark, sf):
+    return _index(spark, sf).kpi(HOUR)
+
+
+@query
+def indexed_route_summary(spark, sf):
+    return _index(spark, sf).summary(ROUTE_CHOICE)

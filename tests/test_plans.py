@@ -14,7 +14,7 @@ from stopwise_testbed.queries import REGISTRY
 from stopwise.operators import joins, kpis, summaries
 from stopwise.operators.activity import tally
 from stopwise.operators.expectations import drop_failing, violations
-from stopwise.operators.ranking import busiest, exact_sample
+from stopwise.operators.ranking import busiest, exact_sample, least_of_each_task
 from stopwise.plans.dashboards import route_dashboard
 from stopwise.session import sized_for
 from stopwise.sinks.tables import write_table
@@ -135,3 +135,20 @@ def test_sizes_follow_the_input():
     assert large["spark.sql.files.maxPartitionBytes"] == str(1 << 30)
     middle = sized_for(terabyte, cores=800)
     assert middle["spark.sql.shuffle.partitions"] == "4096"
+
+
+@pytest.mark.parametrize("name, scans", [("city_map", 2), ("city_map_borough", 1), ("map_sample", 1)])
+def test_a_sample_reads_what_it_is_drawn_from_once(spark, name, scans):
+    """The events feed the counts, and in ``city_map`` the list of routes as well."""
+    plan = plan_of(REGISTRY[name](spark, SMALL))
+    table = "lineitem" if name == "map_sample" else "events"
+    assert plan.count(f"{table}.parquet") == scans
+    assert "ubquery" not in plan
+
+
+def test_candidates_are_bounded_per_task(spark):
+    rows = spark.range(0, 6000, 1, 6).withColumn("h", F.md5(F.col("id").cast("string")))
+    kept = least_of_each_task(rows, ["h"], 10)
+    assert kept.count() == 60
+    least = sorted(r["h"] for r in rows.collect())[:10]
+    assert sorted(r["h"] for r in kept.collect())[:10] == least
