@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -81,6 +81,41 @@ def stream_silver(
     return silver()
 
 
+def start_unique(
+    spark: SparkSession,
+    rows: DataFrame,
+    path: str,
+    checkpoint: str,
+    keys: Sequence[str],
+    time: str,
+    delay: str,
+) -> StreamingQuery:
+    """Append the rows of a stream to a table, those that share ``keys`` once, then stop.
+
+    A source that delivers a file twice, under two names, repeats its rows. Keys are remembered
+    until the watermark (the greatest ``time`` seen less ``delay``) has passed the time of the
+    first row that had them, so the state is bounded by what arrives in ``delay``; a row that is
+    later than that is dropped, and counted in ``late_rows``. Rows without a time are never late.
+    """
+    fresh = rows.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
+    return (
+        fresh.writeStream.foreachBatch(table_batches(path, checkpoint))
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that a query has dropped as too late, in the batches it reports on."""
+    return sum(
+        state["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for state in progress["stateOperators"]
+    )
+
+
 def checked_batches(
     name: str, condition: str, write: Callable[[DataFrame, int], None]
 ) -> Callable[[DataFrame, int], None]:

@@ -294,3 +294,24 @@ ORACLE["merged_digest"] = ORACLE["stored_digest"]
 ORACLE["indexed_kpi_day"] = ORACLE["hour_kpi_all"]
 ORACLE["indexed_kpi"] = ORACLE["hour_kpi"]
 ORACLE["indexed_route_summary"] = ORACLE["route_summary"]
+ORACLE["quality_history"] = """
+  with lines as (
+    select *, l_linestatus = 'F' and l_quantity > 1 as kept from lineitem),
+  runs as (select unnest(['first', 'second']) as run),
+  verdicts as (
+    select run, 'shipped' as rule, 'drop' as kind, l_linestatus = 'F' as v from lines, runs
+    union all select run, 'some', 'drop', l_quantity > 1 from lines, runs
+    union all select run, 'cheap', 'flag', l_extendedprice < 50000 from lines, runs where kept
+    union all select run, 'known', 'flag', nullif(l_returnflag, 'A') <> 'N' from lines, runs where kept
+    union all select run, 'taxed', 'fail', case when run = 'first' then l_tax >= 0 else l_tax > 0 end
+      from lines, runs where kept)
+  select run, rule, kind, count(*) as rows, count(*) filter (v) as passed,
+    count(*) filter (not v) as failed, count(*) filter (v is null) as unknown
+  from verdicts group by run, rule, kind"""
+ORACLE["drifting_json"] = """
+  select event_id, case when event_id % 2 = 0 then value end as value,
+    case when event_id % 2 = 1 then event_type end as event_type,
+    case when event_id % 2 = 1 then props end as detail_text,
+    case when event_id % 2 = 1 then user_id end as detail_user_id
+  from events"""
+ORACLE["stream_unique"] = "select event_type, count(*) as n from events group by event_type"

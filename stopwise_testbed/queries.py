@@ -14,7 +14,9 @@ from stopwise_testbed.roles import read
 from stopwise.functions.schedule import hour_of
 from stopwise.functions.text import hex_colour
 from stopwise.operators import expectations, joins, kpis, selection, summaries
+from stopwise.operators.expectations import ExpectationFailed
 from stopwise.operators.ranking import exact_sample
+from stopwise.plans.checked import write_checked
 from stopwise.plans.dashboards import borough_dashboard, route_dashboard
 from stopwise.plans.decorators import (
     expect_all,
@@ -30,9 +32,9 @@ from stopwise.sinks.tables import replace_partitions, write_batch, write_table
 from stopwise.sinks.views import preview
 from stopwise.sources.delimited import read_delimited
 from stopwise.sources.feeds import load_feed, load_feeds
-from stopwise.sources.json_tree import read_json_tree
+from stopwise.sources.json_tree import read_json_tree, read_json_variants, with_fields
 from stopwise.sources.tables import read_table, read_view
-from stopwise.streaming.medallion import start_bronze
+from stopwise.streaming.medallion import start_bronze, start_unique, stream_json_tree
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -147,6 +149,55 @@ def append_write(spark, sf):
     return write_table(orders, path, mode="append")
 
 
+@query
+def quality_history(spark, sf):
+    """What three kinds of expectations counted in two writes, the second of them refused."""
+    path, history = scratch_dir(spark, "checked"), scratch_dir(spark, "history")
+    rules = {
+        "drop": {"shipped": "l_linestatus = 'F'", "some": "l_quantity > 1"},
+        "flag": {"cheap": "l_extendedprice < 50000", "known": "nullif(l_returnflag, 'A') <> 'N'"},
+    }
+    lines = read(spark, sf, "lineitem")
+    write_checked(lines, path, history, run="first", fail={"taxed": "l_tax >= 0"}, **rules)
+    try:
+        write_checked(lines, path, history, run="second", fail={"taxed": "l_tax > 0"}, **rules)
+    except ExpectationFailed:
+        pass
+    return read_table(spark, history).select("run", "rule", "kind", "rows", "passed", "failed", "unknown")
+
+
+@query
+def drifting_json(spark, sf):
+    """Events landed as VARIANT in two batches, of which the later has a field the first lacks."""
+    bronze, raw = scratch_dir(spark, "bronze"), scratch_dir(spark, "raw")
+    events = read(spark, sf, "events")
+    first = events.where("event_id % 2 = 0").select("event_id", "value")
+    later = events.where("event_id % 2 = 1").select(
+        "event_id", F.struct(F.col("props").alias("text"), "user_id").alias("detail"), "event_type"
+    )
+    for name, rows in (("a", first), ("b", later)):
+        rows.write.json(f"{raw}/{name}")
+        write_table(read_json_variants(spark, f"{raw}/{name}"), bronze, mode="append")
+    fields = {"event_id": "long", "value": "double", "event_type": "string",
+              "detail.text": "string", "detail.user_id": "long"}
+    return with_fields(read_table(spark, bronze), fields, strict=True)
+
+
+@query
+def stream_unique(spark, sf):
+    """The raw files of the events delivered twice, under other names, and each event kept once."""
+    raw, silver = scratch_dir(spark, "raw"), scratch_dir(spark, "silver")
+    events = read(spark, sf, "events").select("event_id", "event_type", F.col("ts").cast("timestamp"))
+    for copy in ("a", "b"):
+        events.write.json(f"{raw}/{copy}")
+    schema = T.StructType.fromDDL("event_id long, event_type string, ts timestamp")
+    start_unique(
+        spark, stream_json_tree(spark, raw, schema), silver, scratch_dir(spark, "progress"),
+        ["event_id"], "ts", "3650 days",
+    ).awaitTermination()
+    return read_table(spark, silver).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def side_by_side_append(spark, sf):
     """Four writers that append to a table at once; whichever is first makes it."""
