@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stopwise.llm.fm_index import FMIndex
+from stopwise.llm.fm_index import DEPTH, FMIndex
 from stopwise.llm.hashing import GOLDEN, chained, mixed, small_batches, words_of_texts
 from stopwise.llm.text import release_shuffles, small_batches_for, written
 
@@ -241,6 +241,8 @@ def _least_between(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.
 def removed_stretches(docs: DataFrame, window: int = WINDOW, docs_a_shard: int = DOCS_A_SHARD) -> DataFrame:
     """``doc_id, key, start, size``: word ranges to remove, which may overlap. ``key`` is a hash
     of the text and tells rows of one doc_id apart."""
+    if not 1 <= window <= DEPTH:
+        raise ValueError(f"the index tells windows of 1 to {DEPTH} words apart, not {window}")
     small_batches_for(docs.sparkSession)
     n_shards = max(1, -(-docs.count() // docs_a_shard))
     rows = docs.where("doc_id is not null and text is not null").select(
