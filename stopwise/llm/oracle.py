@@ -115,35 +115,41 @@ from judged
 """
 )
 
-# Chunks are compared by their text alone; windows hash the same lines in the same way.
+# Chunks are compared by their text alone; two lines hash in the same way.
 ORACLE["op5_line_dedup"] = r"""
 with lines as (
   select doc_id, unnest(string_split(text, chr(10))) as line,
-    generate_subscripts(string_split(text, chr(10)), 1) as i
+    generate_subscripts(string_split(text, chr(10)), 1) - 1 as i
   from documents where text is not null),
 hashed as (
   select *, cast('0x' || substr(md5(line), 1, 7) as bigint) as h,
     count(*) over (partition by doc_id) as n from lines),
-rolled as (
-  select *, (((coalesce(lag(h, 2) over w, 0) * 1000003 + coalesce(lag(h, 1) over w, 0))
-      % 2147483647) * 1000003 + h) % 2147483647 as r
+ends as (
+  select *, i > 0 and (i = n - 1 or
+    ((lag(h) over w * 1000003) % 2147483647 + h) % 2147483647 % 8 <> 0) as ending
   from hashed window w as (partition by doc_id order by i)),
-numbered as (
-  select *, coalesce(sum(case when r % 4 = 0 or i = n then 1 else 0 end) over (partition by doc_id
-    order by i rows between unbounded preceding and 1 preceding), 0) as chunk from rolled),
-passages as (
-  select doc_id, chunk, count(*) as size, string_agg(line, chr(10) order by i) as passage
-  from numbered group by doc_id, chunk),
-removed as (
-  select doc_id, chunk from (
-    select doc_id, chunk,
-      row_number() over (partition by passage order by doc_id, chunk) as k
-    from passages where size >= 2)
-  where k > 1),
+starts as (
+  select *, min(case when ending then i end) over (partition by doc_id order by i
+    rows between 1 following and unbounded following) as e from ends),
+chunks as (
+  select s.doc_id, s.i as first, s.e as last, list_aggregate(
+    string_split(d.text, chr(10))[s.i + 1 : s.e + 1], 'string_agg', chr(10)) as passage
+  from starts s join documents d using (doc_id) where s.e is not null),
+placed as (
+  select doc_id, first, last,
+    row_number() over (partition by passage order by doc_id, first) > 1 as again,
+    count(*) over (partition by passage) > 1 as repeated
+  from chunks),
+marked as (
+  select l.doc_id, l.i, any_value(l.line) as line,
+    coalesce(bool_or(p.again), false) and not coalesce(bool_or(p.repeated and not p.again), false) as gone
+  from lines l left join placed p
+    on p.doc_id = l.doc_id and l.i between p.first and p.last and p.repeated
+  group by l.doc_id, l.i),
 kept as (
-  select doc_id, count(*) as n_lines, count(r.chunk) as n_removed,
-    string_agg(case when r.chunk is null then line end, chr(10) order by i) as kept_text
-  from numbered left join removed r using (doc_id, chunk) group by doc_id)
+  select doc_id, count(*) as n_lines, count(*) filter (gone) as n_removed,
+    string_agg(line, chr(10) order by i) filter (not gone) as kept_text
+  from marked group by doc_id)
 select doc_id, coalesce(n_lines, 0)::bigint as n_lines, coalesce(n_removed, 0)::bigint as n_removed,
   sha256(coalesce(kept_text, '')) as kept_sha256
 from documents left join kept using (doc_id)

@@ -50,13 +50,13 @@ ARROW_BYTES = "8m"
 def small_batches_for(spark: SparkSession) -> None:
     """Pass texts to Python workers in batches of a few megabytes, which several of them can
     hold at a time. The setting is the session's, and stays; a smaller one is left as it is."""
-    if not 0 < in_bytes(str(spark.conf.get(ARROW_BATCH, "64m"))) <= in_bytes(ARROW_BYTES):
+    if in_bytes(str(spark.conf.get(ARROW_BATCH, "64m"))) > in_bytes(ARROW_BYTES):
         spark.conf.set(ARROW_BATCH, ARROW_BYTES)
 
 
 def in_bytes(size: str) -> int:
     """A size as settings give it: a number of bytes, or of k, m, g or t, with or without a b."""
-    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgt]?)b?", size.strip().lower()).groups()
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgt]?)b?", size.strip().lower()).groups()
     return int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
 
 

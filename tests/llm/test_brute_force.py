@@ -411,11 +411,11 @@ def test_filter_and_join_agree(spark):
 
 
 def test_colliding_chunk_hashes_are_told_apart(spark, documents, monkeypatch):
-    number = lines_module._number
-    monkeypatch.setattr(lines_module, "_number", lambda text, digits: number(text, 7 if digits == 7 else 1))
+    whole = lines_module._hash
+    monkeypatch.setattr(lines_module, "_hash", lambda lines: F.pmod(whole(lines), F.lit(3)))
     random.seed(9)
     made = [f"line {k}" for k in range(60)]
     rows = [(d, "\n".join(random.choices(made, k=12) + made[:9])) for d in range(30)]
     few = {tuple(r) for r in lines_module.line_dedup(documents(rows)).collect()}
-    monkeypatch.setattr(lines_module, "_number", number)
+    monkeypatch.setattr(lines_module, "_hash", whole)
     assert few == {tuple(r) for r in lines_module.line_dedup(documents(rows)).collect()}
