@@ -43,7 +43,15 @@ BATCH_DONE = "_stopwise_batch."
 # Marks a folder whose rows are all there and may be moved in.
 COMPLETE = "_stopwise_complete"
 
-__all__ = ["SAVE_MODES", "SchemaMismatch", "replace_partitions", "write_batch", "write_table"]
+__all__ = [
+    "SAVE_MODES",
+    "SchemaMismatch",
+    "batch_done",
+    "finish_replacing",
+    "replace_partitions",
+    "write_batch",
+    "write_table",
+]
 
 
 def write_table(
@@ -178,27 +186,45 @@ def write_batch(
     files were moved in is finished by its next attempt, and not written again.
     """
     spark = df.sparkSession
-    if not stream.replace("-", "").isalnum():
-        raise ValueError(f"the name of a stream has letters, digits and hyphens, not {stream!r}")
-    done = [
-        name for name in storage.names_in(spark, _folder(path)) if name.startswith(f"{BATCH_DONE}{stream}.")
-    ]
-    if any(int(name.rpartition(".")[2]) >= number for name in done):
+    if batch_done(spark, path, stream, number):
         return False
-    tag = f"{stream}.{number:020d}"
+    mark = _mark(stream, number)
+    tag = mark.removeprefix(BATCH_DONE)
     staged = f"{_folder(path)}/{ADDING}{tag}"
     if storage.is_there(spark, f"{staged}/{COMPLETE}"):
         storage.move_files(spark, staged, path)
     else:
         storage.delete(spark, staged)
         write_table(df, path, mode="append", fmt=fmt, _tag=tag, **options)
-    storage.write_text(spark, f"{_folder(path)}/{BATCH_DONE}{tag}", "")
+    _set_mark(spark, path, mark)
     storage.delete(spark, staged)
-    for name in done:
-        storage.delete(spark, f"{_folder(path)}/{name}")
     return True
 
 
+def _mark(stream: str, number: int) -> str:
+    if not stream.replace("-", "").isalnum():
+        raise ValueError(f"the name of a stream has letters, digits and hyphens, not {stream!r}")
+    return f"{BATCH_DONE}{stream}.{number:020d}"
+
+
+def _marks(spark: SparkSession, path: str, stream: str) -> list[str]:
+    first = _mark(stream, 0).rpartition(".")[0] + "."
+    return [name for name in storage.names_in(spark, _folder(path)) if name.startswith(first)]
+
+
+def _set_mark(spark: SparkSession, path: str, mark: str) -> None:
+    """Record a batch as done, in place of those of its stream before it."""
+    storage.write_text(spark, f"{_folder(path)}/{mark}", "")
+    for name in _marks(spark, path, mark.removeprefix(BATCH_DONE).rpartition(".")[0]):
+        if name < mark:
+            storage.delete(spark, f"{_folder(path)}/{name}")
+
+
+def batch_done(spark: SparkSession, path: str, stream: str, number: int) -> bool:
+    """Whether a table has batch ``number`` of ``stream``, or a later one."""
+    return any(name >= _mark(stream, number) for name in _marks(spark, path, stream))
+
+
 def replace_partitions(
     df: DataFrame,
     path: str,
@@ -206,16 +232,20 @@ def replace_partitions(
     fmt: str = "parquet",
     sort_cols: Sequence[str] = (),
     checks: Mapping[str, str] | None = None,
+    once: tuple[str, int] | None = None,
 ) -> DataFrame:
     """Replace the partitions of a table that ``df`` has rows of; files of others are not touched.
 
     ``df`` has the table's columns, and may be a query over the table itself. Its rows are staged
     in the table and the partitions swapped one by one, two renames each, so a reader may see some
     old and some new. A swap that was interrupted is finished by the next call. It must be the only
-    writer of its table.
+    writer of its table. With ``once``, a stream and a batch number as in ``write_batch``, a batch
+    that the table has is not applied again.
     """
     spark = df.sparkSession
-    _finish_replacing(spark, path)
+    finish_replacing(spark, path)
+    if once and batch_done(spark, path, *once):
+        return read_table(spark, path, fmt)
     shape = saved_shape(spark, path)
     if shape is None or not shape.partition_cols:
         raise ValueError(f"{path} is not a partitioned table of this library")
@@ -225,14 +255,17 @@ def replace_partitions(
     df = _arranged(_align(df, shape.schema, fold), shape.partition_cols, True, sort_cols)
     staged = f"{_folder(path)}/{REPLACING}{uuid.uuid4().hex}"
     _stage(df, staged, shape, fmt, checks or {})
+    if once:
+        storage.write_text(spark, f"{staged}/{_mark(*once)}", "")
     storage.write_text(spark, f"{staged}/{COMPLETE}", "")
-    _finish_replacing(spark, path)
+    finish_replacing(spark, path)
     spark.catalog.refreshByPath(path)
     return read_table(spark, path, fmt, shape.schema)
 
 
-def _finish_replacing(spark: SparkSession, path: str) -> None:
-    """Swap in the partitions that are staged in full; drop those that are not."""
+def finish_replacing(spark: SparkSession, path: str) -> None:
+    """Finish a replacement that was interrupted: swap in the partitions that are staged in full,
+    drop those that are not."""
     folder = _folder(path)
     for name in storage.names_in(spark, folder):
         if not name.startswith(REPLACING):
@@ -247,6 +280,9 @@ def _finish_replacing(spark: SparkSession, path: str) -> None:
                     storage.rename(spark, f"{folder}/{part}", f"{retired}/{part}")
                 storage.make_folder(spark, f"{folder}/{part}".rpartition("/")[0])
                 storage.rename(spark, f"{staged}/{part}", f"{folder}/{part}")
+            for mark in storage.names_in(spark, staged):
+                if mark.startswith(BATCH_DONE):
+                    _set_mark(spark, path, mark)
         storage.delete(spark, retired)
         storage.delete(spark, staged)
 
