@@ -113,13 +113,14 @@ def line_dedup(docs: DataFrame, text: str = "text", spacing: int = SPACING) -> D
         based.where("_text is not null").select("_id", "_digest", F.inline(found)),
         "line-chunks",
     )
-    # Most chunks occur once: they are counted by their hash alone before any place moves.
-    again = chunks.groupBy(F.col("_hash").alias("_again")).agg(F.count(F.lit(1)).alias("_n"))
-    again = written(spark, again.where("_n > 1").select("_again"), "line-hashes")
-    repeats = chunks.join(again, F.col("_hash") == F.col("_again"), "left_semi")
-    firsts = repeats.groupBy(F.col("_hash").alias("_same_hash")).agg(F.min(place).alias("_keep"))
+    # Written, so that the join has a plain shuffle on both sides: only then can Spark part a hash
+    # that a third of all texts have.
+    repeated = chunks.groupBy(F.col("_hash").alias("_again")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(place).alias("_keep")
+    )
+    repeated = written(spark, repeated.where("_n > 1").select("_again", "_keep"), "line-firsts")
     marks = (
-        repeats.join(firsts, F.col("_hash") == F.col("_same_hash"))
+        chunks.join(repeated, F.col("_hash") == F.col("_again"))
         .groupBy(F.col("_id").alias("_doc"), F.col("_digest").alias("_same"))
         .agg(
             F.array_distinct(
