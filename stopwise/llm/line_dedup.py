@@ -167,18 +167,20 @@ def line_dedup(docs: DataFrame, text: str = "text", spacing: int = SPACING) -> D
 
 
 def _told_apart(joined: DataFrame, texts: DataFrame, clashes: DataFrame) -> DataFrame:
-    """The same marks, where those of clashing hashes compare whole passages."""
+    """The same marks, where those of clashing hashes compare whole passages; a passage that then
+    occurs once has none."""
     order = [F.col("_id").isNull(), F.col("_id"), F.col("_digest"), F.col("_first")]
     clashing = texts.join(clashes, F.col("_hash") == F.col("_clash"))
     firsts = clashing.groupBy(F.col("_passage").alias("_same_passage")).agg(
-        F.min(F.struct(*order)).alias("_keep")
+        F.min(F.struct(*order)).alias("_keep"), F.count(F.lit(1)).alias("_times")
     )
+    size = F.when(F.col("_times") > 1, F.col("_size")).otherwise(F.lit(0)).alias("_size")
     again = (
         clashing.join(firsts, F.col("_passage") == F.col("_same_passage"))
         .groupBy(F.col("_id").alias("_doc"), F.col("_digest").alias("_same"))
         .agg(
             F.collect_list(
-                F.struct("_first", "_size", "_hash", (F.struct(*order) != F.col("_keep")).alias("_out"))
+                F.struct("_first", size, "_hash", (F.struct(*order) != F.col("_keep")).alias("_out"))
             ).alias("_mended")
         )
     )
@@ -203,6 +205,7 @@ def _told_apart(joined: DataFrame, texts: DataFrame, clashes: DataFrame) -> Data
                 ),
             ).otherwise(F.col("_marks")),
         )
+        .withColumn("_marks", F.filter("_marks", lambda mark: mark["_size"] > 0))
         .drop("_doc", "_same", "_mended")
     )
 

@@ -41,9 +41,11 @@ from stopwise.llm.text import small_batches_for, unique_name, written
 CHUNK = 8_192
 GIANT = 32_768
 # What a worker keeps: bytes of words with their ids, and pairs of pieces.
-CACHED_BYTES = 32 << 20
+CACHED_BYTES = 24 << 20
 CACHED_PAIRS = 100_000
-STRETCH = 1 << 20
+STRETCH = 512 << 10
+# Texts and their ids are several times their size in a worker: batches stay below that of others.
+ARROW_BYTES = "2m"
 CACHED_CHARS = 48
 # A word's share of its dictionary, and the headers of two objects.
 WORD_BYTES = 220
@@ -385,25 +387,45 @@ def encode(
     ids: str = "ids",
     chunk: int = CHUNK,
     giant: int = GIANT,
+    round_trip: str | None = None,
 ) -> DataFrame:
     """``docs`` with a column of piece ids (``array<int>``); a column of that name is replaced.
 
+    ``round_trip`` names a further column: whether the decoded ids are the text again, null
+    counting as empty. Ids are decoded where they are made, so no task holds a second worker.
+
     Null and empty texts have no ids. U+2581 in a text, which the library would turn into a
     space, is kept through its bytes, so every text survives the round trip. Texts of more than
     ``giant`` characters go through chunks of ``chunk``.
     """
-    small_batches_for(docs.sparkSession)
-    kept = [c for c in docs.columns if c != ids]
+    small_batches_for(docs.sparkSession, ARROW_BYTES)
+    kept = [c for c in docs.columns if c not in (ids, round_trip)]
     own = docs.select(*kept)
     key = unique_name(own, "_key")
     ordinary = own.where(F.coalesce(F.length(text), F.lit(0)) <= giant)
     giants = own.where(F.length(text) > giant).withColumn(key, F.sha2(F.col(text).cast("binary"), 256))
-    short = ordinary.withColumn(ids, _encoded(vocabulary)(F.col(text)))
     found = giant_ids(giants.select(F.col(key).alias("key"), F.col(text).alias("text")), vocabulary, chunk)
     other = unique_name(giants, "_same_key")
     found = found.select(F.col("key").alias(other), F.col("ids").alias(ids))
     long = giants.join(found, F.col(key) == F.col(other), "left")
-    return short.select(*kept, ids).unionByName(long.select(*kept, ids))
+    if round_trip is None:
+        short = ordinary.withColumn(ids, _encoded(vocabulary)(F.col(text)))
+        return short.select(*kept, ids).unionByName(long.select(*kept, ids))
+    both = unique_name(own, "_checked")
+    short = ordinary.withColumn(both, _encoded_and_checked(vocabulary)(F.col(text))).select(
+        *kept, F.col(f"{both}.ids").alias(ids), F.col(f"{both}.same").alias(round_trip)
+    )
+    same = decoded(F.col(ids), vocabulary) == F.col(text)
+    return short.unionByName(long.select(*kept, ids, same.alias(round_trip)))
+
+
+def _packed(coder: Coder, texts: pd.Series) -> Iterator[tuple[str | None, bytes]]:
+    """Each text with its ids, a stretch of texts at a time."""
+    for some in _stretches(texts):
+        escaped_texts = [escaped(text) if text else "" for text in some]
+        coder.learn(escaped_texts)
+        for text, whole in zip(some, escaped_texts):
+            yield text, coder.packed_ids(whole) if whole else b""
 
 
 def _encoded(vocabulary: Vocabulary):
@@ -411,16 +433,26 @@ def _encoded(vocabulary: Vocabulary):
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         coder = Coder(vocabulary)
         for batch in batches:
-            ids = []
-            for some in _stretches(batch):
-                texts = [escaped(text) if text else "" for text in some]
-                coder.learn(texts)
-                ids += [np.frombuffer(coder.packed_ids(t) if t else b"", np.int32) for t in texts]
+            ids = [np.frombuffer(packed, np.int32) for _, packed in _packed(coder, batch)]
             yield pd.Series(ids, dtype=object)
 
     return run
 
 
+def _encoded_and_checked(vocabulary: Vocabulary):
+    @F.pandas_udf("ids array<int>, same boolean")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        coder, decoder = Coder(vocabulary), Decoder(vocabulary)
+        for batch in batches:
+            ids, same = [], []
+            for text, packed in _packed(coder, batch):
+                ids.append(np.frombuffer(packed, np.int32))
+                same.append(decoder.decode(ids[-1]) == (text or "").encode())
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "same": pd.Series(same, dtype=bool)})
+
+    return run
+
+
 def _stretches(texts: pd.Series) -> Iterator[list[str | None]]:
     """The same texts, about ``STRETCH`` characters at a time: what is made of them is many times
     their size."""

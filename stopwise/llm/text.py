@@ -47,11 +47,11 @@ ARROW_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 ARROW_BYTES = "8m"
 
 
-def small_batches_for(spark: SparkSession) -> None:
+def small_batches_for(spark: SparkSession, most: str = ARROW_BYTES) -> None:
     """Pass texts to Python workers in batches of a few megabytes, which several of them can
     hold at a time. The setting is the session's, and stays; a smaller one is left as it is."""
-    if in_bytes(str(spark.conf.get(ARROW_BATCH, "64m"))) > in_bytes(ARROW_BYTES):
-        spark.conf.set(ARROW_BATCH, ARROW_BYTES)
+    if in_bytes(str(spark.conf.get(ARROW_BATCH, "64m"))) > in_bytes(most):
+        spark.conf.set(ARROW_BATCH, most)
 
 
 def in_bytes(size: str) -> int:

@@ -419,3 +419,13 @@ def test_colliding_chunk_hashes_are_told_apart(spark, documents, monkeypatch):
     few = {tuple(r) for r in lines_module.line_dedup(documents(rows)).collect()}
     monkeypatch.setattr(lines_module, "_hash", whole)
     assert few == {tuple(r) for r in lines_module.line_dedup(documents(rows)).collect()}
+
+
+def test_round_trips_are_checked_where_ids_are_made(spark, documents, vocabulary):
+    texts = ["plain words", "▁ odd  😀\n\n", "", None, "x" * 500, "long words of it " * 40]
+    df = documents(list(enumerate(texts)), ids=F.lit("old"), ok=F.lit("old"), _checked=F.lit(1))
+    out = pieces.encode(df, vocabulary, chunk=100, giant=300, round_trip="ok")
+    assert sorted(out.columns) == sorted(df.columns)
+    plain = {r["doc_id"]: r["ids"] for r in pieces.encode(df, vocabulary, chunk=100, giant=300).collect()}
+    for row in out.collect():
+        assert row["ok"] is True and row["ids"] == plain[row["doc_id"]] and row["_checked"] == 1
