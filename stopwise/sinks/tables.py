@@ -183,9 +183,16 @@ def write_batch(
 
     Numbers of a stream ascend, and only its last one is kept. Batches and the appends of
     ``write_table`` (whose ``options`` these are) may share a table. A batch that died while its
-    files were moved in is finished by its next attempt, and not written again.
+    files were moved in is finished by its next attempt, and not written again. A Delta table keeps
+    such numbers in its own log (``txnAppId``, ``txnVersion``), where a repeated batch is left out
+    unseen, and the call is always True.
     """
     spark = df.sparkSession
+    if fmt == "delta":
+        writer = df.write.format(fmt).mode("append").option("mergeSchema", "true")
+        writer = writer.partitionBy(*options.get("partition_cols", ()))
+        writer.option("txnAppId", stream).option("txnVersion", number).save(path)
+        return True
     if batch_done(spark, path, stream, number):
         return False
     mark = _mark(stream, number)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from stopwise import storage
 from stopwise.config import Settings
 from stopwise.plans.decorators import expect_or_fail, table
-from stopwise.sinks.tables import SchemaMismatch, write_table
+from stopwise.sinks.tables import SchemaMismatch, write_batch, write_table
 from stopwise.sources.tables import SCHEMA_FILE, read_table, saved_shape
 
 
@@ -280,6 +280,8 @@ def test_column_names_with_dots(spark, path):
 def test_delta_goes_through_its_own_writer(spark, path):
     with pytest.raises(Exception, match="(?i)delta"):
         write_table(spark.range(1), path, fmt="delta")
+    with pytest.raises(Exception, match="(?i)delta"):
+        write_batch(spark.range(1), path, "stream", 1, fmt="delta")
 
 
 def test_decorator_returns_the_stored_rows(spark, path):
