@@ -19,8 +19,10 @@ joins near copies, however many, by as many comparisons as members. Two members
 different components can link only if they differ from the pivot in the same way: of the tokens
 in which either differs from it, they must share a number that follows from their sizes. So the
 differences are joined by a prefix filter of their own, what the pivot lacks first, and copies
-that were each edited elsewhere never meet. Members that sizes or orders kept from the pivot are
-paired by their token, and all pairs found are compared. Every pair that could link has then been
+that were each edited elsewhere never meet. Members that sizes or orders kept from the pivot are paired
+by their token where it has few. Else they and members they may link to have the tokens of their
+whole sets counted and are joined by prefixes in the order of these counts, where a passage that
+many share comes last. All pairs found are compared. Every pair that could link has then been
 compared or joined through others, so components are exact.
 """
 
@@ -31,7 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stopwise.llm.components import components
@@ -39,6 +41,8 @@ from stopwise.llm.hashing import GOLDEN, chained, mixed, small_batches, words_of
 from stopwise.llm.text import release_shuffles, small_batches_for, written
 
 RANKED_WORDS = 1 << 18
+# Members of a token up to which pairing them is cheaper than counting all their tokens.
+PAIRED = 64
 
 
 @dataclass(frozen=True)
@@ -68,6 +72,11 @@ class Similarity:
         """In how many tokens sets of these sizes differ at most if they link."""
         return F.floor((100 - self.percent) * (a + b) / F.lit(100.0 + self.percent) + 1e-9)
 
+    def largest(self, n: Column, at: Column) -> Column:
+        """The largest set that one of ``n`` may link to if ``at`` is the place of the first token
+        they share."""
+        return F.floor((n - at) * (100 + self.percent) / F.lit(float(self.percent)) - n + 1e-6)
+
 
 # ---------------------------------------------------------------------- word counts
 
@@ -342,7 +351,7 @@ def linked(
     enough = F.col("shared") * 100 >= F.col("either") * similarity.percent
     found = compared.where(enough).select(F.col("x").alias("u"), F.col("y").alias("v"))
     label = written(spark, components(found), "ngram-labels")
-    rest = written(spark, _unsettled(shared, compared, label, similarity), "ngram-unsettled")
+    rest = written(spark, _unsettled(docs, shared, compared, label, similarity), "ngram-unsettled")
     rest = written(spark, _pass_other_orders(rest, classes), "ngram-rest")
     release_shuffles(spark)
     if not rest.isEmpty():
@@ -354,8 +363,14 @@ def linked(
     return members, label
 
 
-def _unsettled(shared: DataFrame, compared: DataFrame, label: DataFrame, similarity: Similarity) -> DataFrame:
-    """Pairs that may link and lie in different components so far, pivots' own pairs excepted."""
+def _unsettled(
+    docs: DataFrame, shared: DataFrame, compared: DataFrame, label: DataFrame, similarity: Similarity
+) -> DataFrame:
+    """Pairs that may link and lie in different components so far, pivots' own pairs excepted.
+
+    Members of a token with few of them are paired; those of other tokens are joined by a better
+    order, so that pairs do not grow with the square of their number.
+    """
     spark = shared.sparkSession
     own = F.coalesce("component", "x").alias("component")
     by_difference = _alike_in_difference(
@@ -365,36 +380,143 @@ def _unsettled(shared: DataFrame, compared: DataFrame, label: DataFrame, similar
         label,
         similarity,
     )
-    # Members of a token whose pivot they were not compared with meet all other members.
-    known = compared.select(F.col("x").alias("kx"), F.col("y").alias("ky"))
-    unknown = (
-        shared.where("x <> y")
-        .join(known, (F.col("x") == F.col("kx")) & (F.col("y") == F.col("ky")), "left_anti")
-        .join(label, F.col("x") == F.col("node"), "left")
-        .select("token", "x", "n", "at", own)
-    )
-    unknown = written(spark, unknown, "ngram-unknown")
-    tokens = unknown.groupBy("token").agg(F.count("*").alias("n_unknown")).select(F.col("token").alias("t"))
+    members = written(spark, _open_members(shared, compared, label, similarity), "ngram-unknown")
+    few, many = members.where(F.col("together") <= PAIRED), members.where(F.col("together") > PAIRED)
+    other = few.select(*[F.col(c).alias(f"o_{c}") for c in few.columns])
+    by_token = few.join(
+        other,
+        (F.col("token") == F.col("o_token"))
+        & (F.col("x") < F.col("o_x"))
+        & (F.col("component") != F.col("o_component"))
+        & (F.col("open") | F.col("o_open"))
+        & (F.col("largest") >= F.col("o_n"))
+        & (F.col("o_largest") >= F.col("n")),
+    ).select("x", F.col("o_x").alias("y"))
+    by_frequency = _by_frequency(docs, _with_partner(many, similarity), similarity)
+    return by_difference.unionByName(by_token).unionByName(by_frequency).distinct()
+
+
+def _open_members(shared: DataFrame, compared: DataFrame, label: DataFrame, similarity: Similarity) -> DataFrame:
+    """``token, x, n, component, open, largest, together``: members of the tokens that comparisons
+    with pivots left unsettled.
+
+    Those have members of several components, and one at least that is ``open``, not compared with
+    the pivot. ``largest`` is the size of the largest set x may link to by the token's place in it,
+    ``together`` the number of the token's members.
+    """
+    known = compared.select(F.col("x").alias("kx"), F.col("y").alias("ky")).distinct()
     members = (
         shared.where("x <> y")
-        .join(tokens, F.col("token") == F.col("t"), "left_semi")
+        .join(known, (F.col("x") == F.col("kx")) & (F.col("y") == F.col("ky")), "left")
         .join(label, F.col("x") == F.col("node"), "left")
         .select(
-            F.col("token").alias("o_token"),
-            F.col("x").alias("o"),
-            F.col("n").alias("o_n"),
-            F.col("at").alias("o_at"),
-            F.coalesce("component", "x").alias("o_component"),
+            "token",
+            "x",
+            "n",
+            F.coalesce("component", "x").alias("component"),
+            F.col("kx").isNull().alias("open"),
+            similarity.largest(F.col("n"), F.col("at")).alias("largest"),
+        )
+    )
+    members = written(shared.sparkSession, members, "ngram-members-of-tokens")
+    unsettled = (
+        members.groupBy(F.col("token").alias("t"))
+        .agg(
+            F.count("*").alias("together"),
+            F.max("open").alias("any"),
+            F.min("component").alias("least"),
+            F.max("component").alias("greatest"),
         )
+        .where("any and least <> greatest")
+        .select("t", "together")
+    )
+    return members.join(unsettled, F.col("token") == F.col("t")).drop("t")
+
+
+def _with_partner(members: DataFrame, similarity: Similarity) -> DataFrame:
+    """``x, component, open`` of the members that may link to one of another component, either of
+    them open. Told per token and size class, without pairing them."""
+    size = lambda n: F.floor(F.log(n) * 10).cast("int")
+    others = members.groupBy(F.col("token").alias("o_token"), size(F.col("n")).alias("o_size")).agg(
+        F.max("largest").alias("o_largest"),
+        F.max("open").alias("o_open"),
+        F.min("component").alias("least"),
+        F.max("component").alias("greatest"),
     )
-    by_token = unknown.join(
-        members,
+    smallest = F.ceil(F.col("n") * similarity.percent / F.lit(100.0) - 1e-9)
+    sought = members.where(F.col("largest") >= smallest).withColumn(
+        "size", F.explode(F.sequence(size(smallest), size(F.col("largest"))))
+    )
+    return (
+        sought.join(
+            others,
+            (F.col("token") == F.col("o_token"))
+            & (F.col("size") == F.col("o_size"))
+            & (F.col("o_largest") >= F.col("n"))
+            & (F.col("open") | F.col("o_open"))
+            & ((F.col("least") != F.col("component")) | (F.col("greatest") != F.col("component"))),
+            "left_semi",
+        )
+        .groupBy("x")
+        .agg(F.min("component").alias("component"), F.max("open").alias("open"))
+    )
+
+
+def _single_tokens(docs: DataFrame, ids: DataFrame, similarity: Similarity) -> DataFrame:
+    """``id, own, n, token``: each token of the sets of the documents in ``id``. ``own`` tells sets
+    of one id apart."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, 1):
+            sets = [np.zeros(0, np.uint64) if s is None else s for s in _sets(batch.column(1), similarity)]
+            sizes = np.array([len(s) for s in sets])
+            own = np.array([mixed(s + GOLDEN).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.repeat(batch.column(0).to_numpy(zero_copy_only=False), sizes), pa.int64()),
+                    pa.array(np.repeat(own, sizes)),
+                    pa.array(np.repeat(sizes, sizes), pa.int32()),
+                    pa.array(np.concatenate(sets).view(np.int64)),
+                ],
+                ["id", "own", "n", "token"],
+            )
+
+    chosen = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
+    return chosen.mapInArrow(run, "id long, own long, n int, token long")
+
+
+def _by_frequency(docs: DataFrame, chosen: DataFrame, similarity: Similarity) -> DataFrame:
+    """Pairs ``x, y`` of ``chosen`` that may link, lie in different components and have an open one.
+
+    Their tokens are all counted and put in a fourth order, by the number of chosen sets that
+    have them. Tokens that only one has come first and need no place in the join, and those of a
+    common passage come last, so sets that share little else do not meet.
+    """
+    spark = docs.sparkSession
+    chosen = written(spark, chosen, "ngram-open")
+    tokens = written(spark, _single_tokens(docs, chosen.select(F.col("x").alias("id")), similarity), "ngram-tokens")
+    counted = tokens.groupBy(F.col("token").alias("t")).agg(F.count("*").alias("df")).where("df > 1")
+    of_set = Window.partitionBy("id", "own")
+    # Those in one set only come before all others of the set.
+    at = F.col("n") - F.count("*").over(of_set) + F.row_number().over(of_set.orderBy("df", "token")) - 1
+    postings = (
+        tokens.join(counted, F.col("token") == F.col("t"))
+        .dropDuplicates(["id", "own", "token"])
+        .select("id", "n", "token", at.alias("at"))
+        .where((F.col("n") - F.col("at")) * 100 >= F.col("n") * similarity.percent)
+        .join(chosen, F.col("id") == F.col("x"))
+        .select("token", "x", "n", "at", "component", "open")
+    )
+    postings = written(spark, postings, "ngram-frequency")
+    other = postings.select(*[F.col(c).alias(f"o_{c}") for c in postings.columns])
+    return postings.join(
+        other,
         (F.col("token") == F.col("o_token"))
-        & (F.col("x") != F.col("o"))
+        & (F.col("x") < F.col("o_x"))
         & (F.col("component") != F.col("o_component"))
+        & (F.col("open") | F.col("o_open"))
         & _may_link("n", "at", "o_n", "o_at", similarity),
-    ).select(F.least("x", "o").alias("x"), F.greatest("x", "o").alias("y"))
-    return by_difference.unionByName(by_token).distinct()
+    ).select("x", F.col("o_x").alias("y"))
 
 
 def _alike_in_difference(placed: DataFrame, label: DataFrame, similarity: Similarity) -> DataFrame:

@@ -18,6 +18,7 @@ from stopwise.llm.components import components
 from stopwise.llm.fm_index import FMIndex
 from stopwise.llm.hashing import words_of_texts
 from stopwise.llm.queries import PIECES, REGISTRY
+from stopwise.llm.text import written
 from stopwise.llm.url_filter import Cascade, UrlRule, filter_urls
 from stopwise.llm import line_dedup as lines_module
 
@@ -232,6 +233,45 @@ def test_short_texts_link_to_those_with_one_more_word(spark, documents, percent,
     assert {tuple(r) for r in out.collect()} == want
 
 
+@pytest.mark.parametrize("paired", [0, 3])
+@pytest.mark.parametrize("percent, size", [(90, 3), (80, 5), (60, 2)])
+def test_components_where_members_are_counted(spark, documents, monkeypatch, paired, percent, size):
+    monkeypatch.setattr(ngram_join, "PAIRED", paired)
+    random.seed(percent + paired)
+    vocabulary = [f"v{i}" for i in range(150)]
+    passage = [f"p{i}" for i in range(40)]
+    rows = []
+    for group in range(25):
+        text = random.choices(vocabulary, k=random.randint(8, 70))
+        for copy in range(random.choice([1, 2, 6])):
+            text = list(text)
+            for _ in range(random.choice([0, 1, 2, 5])):
+                text[random.randrange(len(text))] = random.choice(vocabulary)
+            rows.append((len(rows) * 37 % 1009, " ".join(passage[: random.choice([0, 20, 40])] + text)))
+    out = ngram_join.joined(documents(rows), ngram_join.Similarity(percent, size))
+    assert {tuple(r) for r in out.collect()} == brute_components(rows, percent, size)
+
+
+def test_texts_that_share_a_passage_are_not_paired(spark, documents, monkeypatch):
+    random.seed(8)
+    common = [f"c{i}" for i in range(40)]
+    passage = [f"p{i}" for i in range(30)]
+    # The first is too long to link to any other, so that as a pivot it settles nothing.
+    rows = [(k, " ".join(passage + random.choices(common, k=70 if k else 500))) for k in range(120)]
+    rows.append((200, f"{rows[7][1]} more"))
+    pairs = {}
+
+    def counting(spark, df, label):
+        table = written(spark, df, label)
+        pairs[label] = table.count()
+        return table
+
+    monkeypatch.setattr(ngram_join, "written", counting)
+    out = ngram_join.joined(documents(rows), ngram_join.Similarity(80, 5))
+    assert {tuple(r) for r in out.collect()} == brute_components(rows, 80, 5)
+    assert pairs["ngram-unsettled"] <= len(rows)
+
+
 def test_chain_of_near_copies_is_one_component(spark, documents):
     base = [f"t{i}" for i in range(200)]
     rows = []
